@@ -74,7 +74,10 @@ def keep_first(df: DataFrame, key: list[str], order: list, tiebreak: list[str] |
     return first_n_per_group(df, key, order, 1, tiebreak=tiebreak)
 
 
-def first_by_aggregate(df: DataFrame, group: list[str], order: str, cols: list[str]) -> DataFrame:
-    """W5 for flat tables: first child per parent via ``min_by`` (partial aggregation, skew-safe)."""
+def first_by_aggregate(df: DataFrame, group: list[str], order: list[str], cols: list[str]) -> DataFrame:
+    """W5 for flat tables: first child per parent via ``min_by`` (partial aggregation, skew-safe).
+
+    ``order`` should make the choice unique (add tiebreak columns)."""
     s = F.struct(*[F.col(c) for c in cols])
-    return df.groupBy(*group).agg(F.min_by(s, F.col(order)).alias("__f")).select(*group, "__f.*")
+    o = F.struct(*[F.col(c) for c in order])
+    return df.groupBy(*group).agg(F.min_by(s, o).alias("__f")).select(*group, "__f.*")
