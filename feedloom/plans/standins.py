@@ -71,7 +71,10 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pid("o_custkey").alias("product_id"),
         F.concat(F.lit("f"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("file_name"),
         (rows * 1024 + F.col("o_orderkey") % 1000).alias("file_size"),
+        F.concat(F.lit("bulk/P"), F.col("o_custkey").cast("string"), F.lit("/f"),
+                 F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("file_url"),
         F.col("o_orderdate").alias("download_date"),
+        F.col("o_orderdate").alias("processing_started"),
         F.when(F.col("status") == "completed", F.col("o_orderdate")).alias("processing_completed"),
         F.when(F.col("status") == "completed", rows)
          .when(F.col("status") == "error", F.lit(0).cast("bigint")).alias("rows_processed"),
@@ -91,7 +94,9 @@ history AS (
   SELECT 'P' || CAST(o_custkey AS VARCHAR) AS product_id,
          'f' || CAST(o_orderkey AS VARCHAR) || '.csv' AS file_name,
          COALESCE(li_rows, 0) * 1024 + o_orderkey % 1000 AS file_size,
+         'bulk/P' || CAST(o_custkey AS VARCHAR) || '/f' || CAST(o_orderkey AS VARCHAR) || '.csv' AS file_url,
          o_orderdate AS download_date,
+         o_orderdate AS processing_started,
          CASE WHEN st = 'completed' THEN o_orderdate END AS processing_completed,
          CASE WHEN st = 'completed' THEN COALESCE(li_rows, 0) WHEN st = 'error' THEN 0 END AS rows_processed,
          CASE WHEN st = 'completed' THEN COALESCE(li_kept, 0) END AS rows_saved,
