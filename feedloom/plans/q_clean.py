@@ -336,3 +336,13 @@ def first_child(spark, d):
                                                F.col("l_quantity").alias("first_qty"))
     return P.first_by_aggregate(li, ["l_orderkey"], ["l_linenumber", "first_part", "first_qty"],
                                 ["first_part", "first_qty"])
+
+
+@query("alternate_aliases", "P5", """
+SELECT o_orderkey AS serial_no, o_custkey AS registration_no, strftime(o_orderdate, '%Y-%m-%d') AS filing_dt,
+       o_orderstatus AS mark_id_char FROM orders""")
+def alternate_aliases(spark, d):
+    o = SI.table(spark, d, "orders")
+    src = o.select(F.col("o_orderkey").alias("Serial Number"), F.col("o_custkey").alias("registration-number"),
+                   _iso(F.col("o_orderdate")).alias("Filing Date"), F.col("o_orderstatus").alias("mark identification"))
+    return N.apply_aliases(src, "alternate")

@@ -213,3 +213,12 @@ FROM orders""")
 def count_predicate(spark, d):
     o = SI.table(spark, d, "orders")
     return M.count_where(o, high_keys=F.col("o_orderkey") >= 6000, finished=F.col("o_orderstatus") == "F")
+
+
+@query("run_counters", "A16 F9", with_ctes(["batches"], """
+SELECT product_id, file_name, COUNT(*) AS rows_processed, COUNT(*) FILTER (WHERE saved_to_db) AS rows_saved,
+       CAST(ceil(COUNT(*) / 3) AS BIGINT) AS batch_count
+FROM batches GROUP BY product_id, file_name"""))
+def run_counters(spark, d):
+    b = SI.batches(spark, d)
+    return M.run_counters(b, b.filter(F.col("saved_to_db")), batch_size=3)

@@ -41,7 +41,8 @@ def ymd(c) -> Column:
 
 
 # --------------------------------------------------------------------------- case files
-def case_file_records(orders: DataFrame, tag: str = "case-file", prefix: str | None = None) -> DataFrame:
+def case_file_records(orders: DataFrame, tag: str = "case-file", prefix: str | None = None,
+                      keep: list[str] | None = None) -> DataFrame:
     k = F.col("o_orderkey")
     t = f"{prefix}:" if prefix else ""
     flags = F.element_at(F.array(*[F.lit(x) for x in ["T", "F", "t", "Yes", "", "x"]]), (k % 6).cast("int") + 1)
@@ -71,7 +72,7 @@ def case_file_records(orders: DataFrame, tag: str = "case-file", prefix: str | N
                el(f"{t}registration-number", F.when(F.col("o_orderstatus") == "P", F.lit("0000000"))
                   .otherwise(F.lpad(F.col("o_custkey").cast("string"), 7, "0"))),
                header, ir, attrs=attrs)
-    return orders.select(rec.alias("value"))
+    return orders.select(*(keep or []), rec.alias("value"))
 
 
 # --------------------------------------------------------------------------- assignments
