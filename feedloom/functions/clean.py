@@ -17,9 +17,34 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Whitespace stripped from both ends of text values: space, tab, LF, VT, FF, CR.
+WHITESPACE = " \t\n\x0b\x0c\r"
+# Shapes the parsers can accept; parsing is only attempted on these (cheap guards).
+NUMBER_SHAPE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMBER_WORDS = ["nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
+DATE_FORMATS = [("yyyy-MM-dd", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), ("yyyyMMdd", r"^[0-9]{8}$"),
+                ("MM/dd/yyyy", r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$")]
+
+
 def strip_ws(c) -> Column:
-    """Trim all leading/trailing whitespace (Spark's ``trim`` only strips spaces)."""
-    return F.regexp_replace(_c(c).cast("string"), r"^\s+|\s+$", "")
+    """Trim all leading/trailing whitespace (Spark's ``trim`` only strips spaces); no regex."""
+    return F.btrim(_c(c).cast("string"), F.lit(WHITESPACE))
+
+
+def number_like(s: Column) -> Column:
+    """True when ``s`` (already stripped) has the shape of a number."""
+    return s.rlike(NUMBER_SHAPE) | F.lower(s).isin(*NUMBER_WORDS)
+
+
+def try_number(s: Column) -> Column:
+    """``try_cast(s AS DOUBLE)``, attempted only on number-shaped text."""
+    return F.when(number_like(s), s.try_cast("double"))
+
+
+def try_date(s: Column, formats=None) -> Column:
+    """First format that parses; each parse attempted only on text of that format's shape."""
+    fmts = [f for f in DATE_FORMATS if formats is None or f[0] in formats]
+    return F.coalesce(*[F.when(s.rlike(rx), F.try_to_date(s, fmt)) for fmt, rx in fmts])
 
 
 def null_token(c) -> Column:
@@ -47,7 +72,7 @@ def text_or_empty(c) -> Column:
 def to_flag_bool(c) -> Column:
     """Boolean by '_in' suffix.  Token sets first, then any number (!= 0), else NULL."""
     s = F.lower(strip_ws(c))
-    num = s.try_cast("double")
+    num = try_number(s)
     return (F.when(s.isin(*S.TRUE_TOKENS), F.lit(True))
             .when(s.isin(*S.FALSE_TOKENS), F.lit(False))
             .when(num.isNotNull(), num != 0)
@@ -61,8 +86,7 @@ def _try_cast(c: Column, t: str) -> Column:
 def to_date_text(c) -> Column:
     """P9: '' / '0000-00-00' / 'nan' -> NULL, any accepted date format -> DATE, else NULL."""
     s = strip_ws(c)
-    parsed = F.coalesce(F.try_to_date(s, "yyyy-MM-dd"), F.try_to_date(s, "yyyyMMdd"),
-                        F.try_to_date(s, "MM/dd/yyyy"))
+    parsed = try_date(s)
     return F.when(s.isin(*S.EMPTY_DATE_TOKENS) | s.isNull(), F.lit(None).cast("date")).otherwise(parsed)
 
 
@@ -75,7 +99,7 @@ def date_unparsable(c) -> Column:
 def to_whole_number(c) -> Column:
     """P10: numeric text -> BIGINT, truncating fractions ('12.0' -> 12); failure -> NULL."""
     s = strip_ws(c)
-    return _try_cast(_try_cast(s, "decimal(38,6)"), "bigint")
+    return F.when(s.rlike(NUMBER_SHAPE), _try_cast(_try_cast(s, "decimal(38,6)"), "bigint"))
 
 
 def yyyymmdd_to_date(c) -> Column:

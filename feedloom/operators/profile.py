@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom import schemas as S
-from feedloom.functions.clean import pct, strip_ws
+from feedloom.functions.clean import number_like, pct, strip_ws, try_date
 
 
 def _stack(wide: DataFrame, cols: list[str], metrics: list[str], out: list[str]) -> DataFrame:
@@ -72,24 +72,25 @@ def key_candidates(df: DataFrame, family: str | None = None) -> DataFrame:
         "chosen", F.coalesce(F.col("rank") == F.col("__best"), F.lit(False))).drop("__rows", "__best")
 
 
-def _date_ok(c: Column) -> Column:
-    s = strip_ws(c)
-    return F.coalesce(F.try_to_date(s, "yyyy-MM-dd"), F.try_to_date(s, "yyyyMMdd")).isNotNull()
+def _date_ok(s: Column) -> Column:
+    return try_date(s, ["yyyy-MM-dd", "yyyyMMdd"]).isNotNull()
 
 
 def column_classes(df: DataFrame, threshold: float = 0.9) -> DataFrame:
     """Q2: classify each column by its values (date / number / boolean / text), names as a tiebreak."""
     cols = df.columns
+    # Strip once per value in a projection; the aggregate then reads the stripped text.
+    stripped = df.select(*[strip_ws(F.col(f"`{c}`")).alias(c) for c in cols])
     aggs = []
     for c in cols:
-        v = F.col(f"`{c}`").cast("string")
-        present = v.isNotNull() & (strip_ws(v) != "")
+        v = F.col(f"`{c}`")
+        present = v.isNotNull() & (v != "")
         aggs += [F.count_if(present).alias(f"{c}__present"),
                  F.count_if(present & _date_ok(v)).alias(f"{c}__date"),
-                 F.count_if(present & strip_ws(v).try_cast("double").isNotNull()).alias(f"{c}__number"),
-                 F.count_if(present & F.lower(strip_ws(v)).isin(*(S.TRUE_TOKENS + S.FALSE_TOKENS + ["t", "f"])))
+                 F.count_if(present & number_like(v) & v.try_cast("double").isNotNull()).alias(f"{c}__number"),
+                 F.count_if(present & F.lower(v).isin(*(S.TRUE_TOKENS + S.FALSE_TOKENS + ["t", "f"])))
                  .alias(f"{c}__bool")]
-    long = _stack(df.agg(*aggs), cols, ["present", "date", "number", "bool"],
+    long = _stack(stripped.agg(*aggs), cols, ["present", "date", "number", "bool"],
                   ["present", "date_like", "number_like", "bool_like"])
     share = lambda m: F.col(m) / F.nullif(F.col("present"), F.lit(0))
     name = F.lower(F.col("column_name"))
