@@ -162,26 +162,33 @@ def conform(df: DataFrame, types: dict[str, str], keep: list[str] | None = None)
     """Cast text columns to the family's types; flag rows where a present value fails to cast.
 
     Returns all rows with ``rejected`` and ``reject_columns``; split with ``filter``.
+    Built in stages (text -> typed value -> reject flags) so each value is computed once
+    and the flags read the typed columns instead of re-inlining the conversions.
     """
     from feedloom.functions.clean import text_or_null, to_date_text, to_whole_number
-    casted, bad = [], []
+    keep = keep or []
+    src = df.select(*keep, *[text_or_null(F.col(c)).alias(f"__src_{c}") for c in types])
+    typed_cols = []
     for c, t in types.items():
-        src = text_or_null(F.col(c))
-        absent = src.isNull()
+        s = F.col(f"__src_{c}")
         if t == "date":
-            v = to_date_text(src)
-            absent = absent | src.isin(*S.EMPTY_DATE_TOKENS)
+            v = to_date_text(s)
         elif t == "string":
-            v = src
+            v = s
         elif t in ("int", "bigint"):
-            v = to_whole_number(src).cast(t)
+            v = to_whole_number(s).cast(t)
         else:
-            v = src.try_cast(t)
-        casted.append(v.alias(c))
-        bad.append(F.when(~absent & v.isNull(), F.lit(c)))
+            v = s.try_cast(t)
+        typed_cols.append(v.alias(c))
+    typed = src.select(*keep, *[f"__src_{c}" for c in types], *typed_cols)
+    bad = []
+    for c, t in types.items():
+        absent = F.col(f"__src_{c}").isNull()
+        if t == "date":
+            absent = absent | F.col(f"__src_{c}").isin(*S.EMPTY_DATE_TOKENS)
+        bad.append(F.when(~absent & F.col(c).isNull(), F.lit(c)))
     rej = F.array_compact(F.array(*bad))
-    d = df.select(*(keep or []), *casted, rej.alias("reject_columns"))
-    return d.withColumn("rejected", F.size("reject_columns") > 0)
+    return typed.select(*keep, *types, rej.alias("reject_columns")).withColumn("rejected", F.size("reject_columns") > 0)
 
 
 def loaded_products(products: DataFrame, rows: DataFrame, key: str = "product_id") -> tuple[DataFrame, DataFrame]:

@@ -37,11 +37,15 @@ def record_texts(spark: SparkSession, paths, tag: str, prefix: str | None = None
     raw = (spark.read.option("lineSep", end).option("wholetext", "false").text(paths)
            .select("value", F.col("_metadata.file_path").alias("file_path"),
                    F.col("_metadata.file_block_start").alias("block_start")))
-    qtag = re.escape(f"{prefix}:{tag}" if prefix else tag)
-    start = r"(<" + qtag + r"(?:[\s/>][\s\S]*)?)$"
-    frag = F.regexp_extract("value", start, 1)
+    name = f"{prefix}:{tag}" if prefix else tag
+    # The record starts at the first "<tag" followed by '>', whitespace or '/'; plain string
+    # search (no regex) keeps this step at scan speed.
+    v = F.col("value")
+    hits = [F.locate(f"<{name}{c}", v) for c in (">", " ", "\t", "\n", "\r", "/")]
+    start = F.least(*[F.when(h > 0, h) for h in hits])
+    frag = v.substr(start, F.length(v) - start + 1)
     return (raw.select("file_path", "block_start", frag.alias("frag"))
-            .filter(F.col("frag") != "")
+            .filter(F.col("frag").isNotNull())
             .select("file_path", "block_start", F.concat("frag", F.lit(end)).alias("record")))
 
 
