@@ -67,9 +67,11 @@ def key_candidates(df: DataFrame, family: str | None = None) -> DataFrame:
     long = wide.select("__rows", F.expr("stack({}, {}) as (column_name, rank, distinct_count, null_count)".format(
         len(present), ", ".join(f"'{c}', {i}, `{c}__distinct`, `{c}__nulls`" for i, c in enumerate(present)))))
     long = long.withColumn("qualifies", (F.col("null_count") == 0) & (F.col("distinct_count") == F.col("__rows")))
-    best = long.filter("qualifies").agg(F.min("rank").alias("__best"))
-    return long.join(best, how="left").withColumn(
-        "chosen", F.coalesce(F.col("rank") == F.col("__best"), F.lit(False))).drop("__rows", "__best")
+    # ``long`` has one row per candidate (at most a handful), so a window over it is tiny
+    # and avoids re-scanning the input for the best rank.
+    from pyspark.sql import Window
+    best = F.min(F.when(F.col("qualifies"), F.col("rank"))).over(Window.partitionBy())
+    return long.withColumn("chosen", F.coalesce(F.col("rank") == best, F.lit(False))).drop("__rows")
 
 
 def _date_ok(s: Column) -> Column:
