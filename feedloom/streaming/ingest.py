@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from feedloom.functions import clean as C
 from feedloom.functions import names as N
+from feedloom.session import path_exists
 
 
 def _run(stream_writer, timeout: int | None = None):
@@ -46,7 +47,7 @@ def ingest_csv_stream(spark: SparkSession, source: str, columns: list[str], targ
                                  for c in renamed.columns],
                                C.lineage_source(F.lit(product_id), "csv").alias("data_source"))
         first = typed.dropDuplicates(key)
-        try:
+        if path_exists(spark, target):
             stored = spark.read.parquet(target).filter(F.col("batch_id") != batch_id) \
                 .select(*[F.col(k).alias(f"__s_{k}") for k in key])
             cond = None
@@ -54,8 +55,6 @@ def ingest_csv_stream(spark: SparkSession, source: str, columns: list[str], targ
                 c = F.col(k).eqNullSafe(F.col(f"__s_{k}"))
                 cond = c if cond is None else (cond & c)
             first = first.join(stored, cond, "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: nothing stored yet
-            pass
         first.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
     _run(stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint))
