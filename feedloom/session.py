@@ -63,3 +63,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def open_output(uri: str):
+    """Writable binary stream for ``uri`` on any filesystem pyarrow knows (local, s3, gs, hdfs).
+
+    Used by per-partition helpers on executors that must write whole files (Stata, ZIP).
+    """
+    import pyarrow.fs as pafs
+    if uri.startswith("file:") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:"):]
+    if "://" not in uri:
+        uri = "file://" + uri
+    fs, path = pafs.FileSystem.from_uri(uri)
+    parent = path.rsplit("/", 1)[0]
+    if parent:
+        fs.create_dir(parent, recursive=True)
+    return fs.open_output_stream(path)
