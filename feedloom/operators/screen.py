@@ -151,3 +151,28 @@ def line_screen(df: DataFrame, id_col: str, text_col: str, markers: list[str] |
                                     F.count_if(marked).alias("marked_lines"),
                                     F.count_if(real).alias("real_lines"))
     return agg.withColumn("rejected", F.col("marked_lines") > limit)
+
+
+def remove_empty_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Drop rows whose columns are all NULL or blank (configured cleaning step)."""
+    cols = cols or df.columns
+    present = None
+    for c in cols:
+        v = F.col(f"`{c}`").cast("string")
+        p = v.isNotNull() & (strip_ws(v) != "")
+        present = p if present is None else (present | p)
+    return df.filter(present)
+
+
+def error_budget(checked: DataFrame, file_col: str, rejected_col: str = "rejected",
+                 batch_col: str | None = None) -> DataFrame:
+    """Per file: rows, rejects, reject rate; 'fail' past the per-file error limit, 'alert' past
+    the error-rate threshold, else 'ok' (configured limits, one aggregation)."""
+    keys = [file_col] + ([batch_col] if batch_col else [])
+    agg = checked.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"),
+                                     F.count_if(F.col(rejected_col)).alias("rejects"))
+    limit = S.MAX_ERRORS_PER_BATCH if batch_col else S.MAX_ERRORS_PER_FILE
+    rate = pct("rejects", "rows", 2)
+    verdict = (F.when(F.col("rejects") > limit, F.lit("fail"))
+               .when(rate > S.ERROR_RATE_ALERT_PCT, F.lit("alert")).otherwise(F.lit("ok")))
+    return agg.withColumn("reject_pct", rate).withColumn("verdict", verdict)

@@ -129,3 +129,54 @@ SELECT doc_id, COUNT(*) AS lines, COUNT(*) FILTER (WHERE {_MARKED}) AS marked_li
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) t GROUP BY doc_id""")
 def line_screen(spark, d):
     return Q.line_screen(SI.table(spark, d, "documents"), "doc_id", "text")
+
+
+@query("remove_empty_rows", "P13 S4", """
+SELECT l_orderkey, l_linenumber, a, b FROM (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_linenumber IN (1, 2) THEN NULL ELSE l_returnflag END AS a,
+         CASE WHEN l_linenumber = 1 THEN ' ' WHEN l_linenumber = 2 THEN NULL ELSE l_linestatus END AS b
+  FROM lineitem) t
+WHERE NOT ((a IS NULL OR regexp_replace(a, '^\\s+|\\s+$', '', 'g') = '')
+           AND (b IS NULL OR regexp_replace(b, '^\\s+|\\s+$', '', 'g') = ''))""")
+def remove_empty_rows(spark, d):
+    li = SI.table(spark, d, "lineitem")
+    ln = F.col("l_linenumber")
+    t = li.select("l_orderkey", "l_linenumber",
+                  F.when(ln.isin(1, 2), F.lit(None).cast("string")).otherwise(F.col("l_returnflag")).alias("a"),
+                  F.when(ln == 1, F.lit(" ")).when(ln == 2, F.lit(None).cast("string"))
+                  .otherwise(F.col("l_linestatus")).alias("b"))
+    return Q.remove_empty_rows(t, ["a", "b"])
+
+
+def _error_budget_sql() -> str:
+    from feedloom.plans.registry import ORACLES
+    return f"""
+SELECT l_orderkey AS file_key, COUNT(*) AS rows, COUNT(*) FILTER (WHERE rejected) AS rejects,
+       round(100.0 * COUNT(*) FILTER (WHERE rejected) / NULLIF(COUNT(*), 0), 2) AS reject_pct,
+       CASE WHEN COUNT(*) FILTER (WHERE rejected) > 100 THEN 'fail'
+            WHEN round(100.0 * COUNT(*) FILTER (WHERE rejected) / NULLIF(COUNT(*), 0), 2) > 5 THEN 'alert'
+            ELSE 'ok' END AS verdict
+FROM ({ORACLES['conform_reject']}) c GROUP BY l_orderkey"""
+
+
+from feedloom.plans import q_sinks as _q_sinks  # noqa: E402  (conform_reject must be registered first)
+
+
+@query("error_budget", "P13 A16 A18", _error_budget_sql())
+def error_budget(spark, d):
+    checked = _q_sinks.conform_reject(spark, d).withColumnRenamed("l_orderkey", "file_key")
+    return Q.error_budget(checked, "file_key")
+
+
+@query("latest_archives", "W1 P24", SI.with_ctes(["history"], """
+SELECT product_id, file_name, download_date FROM (
+  SELECT product_id, file_name, download_date,
+         ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY download_date DESC, file_name DESC) AS rn
+  FROM history) t WHERE rn <= 10"""))
+def latest_archives(spark, d):
+    from feedloom import schemas as S
+    from feedloom.operators import positions as P
+    h = SI.history(spark, d).select("product_id", "file_name", "download_date")
+    return P.first_n_per_group(h, ["product_id"], [F.col("download_date").desc(), F.col("file_name").desc()],
+                               S.KEEP_LATEST_ARCHIVES)

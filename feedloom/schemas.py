@@ -282,6 +282,12 @@ BATCH_HISTORY_SCHEMA = T.StructType([
 ])
 
 STATUSES = ["pending", "processing", "completed", "error"]
+
+# FIXED VALUES: configured (documented, not coded) operating limits.
+KEEP_LATEST_ARCHIVES = 10
+MAX_ERRORS_PER_FILE = 100
+MAX_ERRORS_PER_BATCH = 50
+ERROR_RATE_ALERT_PCT = 5
 ERROR_MESSAGE_MAX = 1000
 
 # Typed family layouts used by ``conform`` (K11).  Text unless listed.
