@@ -346,3 +346,26 @@ def alternate_aliases(spark, d):
     src = o.select(F.col("o_orderkey").alias("Serial Number"), F.col("o_custkey").alias("registration-number"),
                    _iso(F.col("o_orderdate")).alias("Filing Date"), F.col("o_orderstatus").alias("mark identification"))
     return N.apply_aliases(src, "alternate")
+
+
+@query("sample_rows", "S15 T6", """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 1000""")
+def sample_rows(spark, d):
+    # Deterministic sample: the first 1000 rows by key (a bounded top-k, not a full sort).
+    o = SI.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return o.orderBy("o_orderkey").limit(1000)
+
+
+@query("align_to_schema", "K1 U3", """
+SELECT o_orderkey AS serial_no, CAST(NULL AS VARCHAR) AS registration_number,
+       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS filing_date, '{"status_code":"' || o_orderstatus || '"}' AS _extras
+FROM orders""")
+def align_to_schema(spark, d):
+    from pyspark.sql import types as T
+    o = SI.table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("serial_no"),
+                                            _iso(F.col("o_orderdate")).alias("filing_date"),
+                                            F.col("o_orderstatus").alias("status_code"))
+    target = T.StructType([T.StructField("serial_no", T.LongType()),
+                           T.StructField("registration_number", T.StringType()),
+                           T.StructField("filing_date", T.DateType())])
+    return N.align_to(o, target).withColumn("filing_date", F.col("filing_date").cast("string"))
