@@ -1,6 +1,6 @@
 """Control tables derived from the driver tables.
 
-The reference keeps a product registry, a per-file load history, a batch
+A feed loader keeps a product registry, a per-file load history, a batch
 table and one data table per product.  The driver tables stand in for them:
 
 * customer -> product registry (``products``)

@@ -1,4 +1,4 @@
-"""Keyed loads: idempotence and guarded transitions (reference test strategy: rerun tests)."""
+"""Keyed loads: idempotence and guarded transitions (rerun tests)."""
 import datetime as dt
 
 from pyspark.sql import functions as F
