@@ -10,7 +10,7 @@ from feedloom.operators import positions as P
 from feedloom.operators import sinks as K
 from feedloom.plans import standins as SI
 from feedloom.plans.q_clean import raw_case_rows, _RAW_SQL, ws
-from feedloom.plans.registry import query
+from feedloom.plans.registry import ORACLES, query
 from feedloom.plans.standins import with_ctes
 
 NOW = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -322,3 +322,17 @@ def worklist(spark, d):
     todo = todo.withColumn("__pos", F.regexp_extract("file_name", r"^f([0-9]+)\.csv$", 1).cast("bigint"))
     return P.first_n_per_group(todo, ["product_id"], ["__pos"], 2, tiebreak=["file_name"]) \
         .select("product_id", "file_name")
+
+
+@query("registry_versions", "K3 K1 K10", ORACLES["upsert_registry"])
+def registry_versions(spark, d):
+    """K3 persisted: the old registry is committed as version 1, the upsert as version 2; read back."""
+    from feedloom.operators import tables as TB
+    from feedloom.session import scratch_path
+    root = scratch_path(spark, "registry")
+    TB.commit_version(spark, _registry_old(spark, d), root, sort_by=["product_id"])
+    TB.upsert_table(spark, root, _registry_new(spark, d), ["product_id"],
+                    ["title", "description", "frequency", "total_size"], ["table_name", "schema_created"], NOW)
+    cur = TB.read_current(spark, root)
+    return cur.select("product_id", "title", "description", "frequency", "total_size", "table_name",
+                      "schema_created", "created_at", "updated_at")

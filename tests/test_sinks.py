@@ -89,3 +89,18 @@ def test_integrity(spark):
     assert K.cascade_delete(child, parent, ["product_id"]).count() == 2
     t = spark.createDataFrame([("abcdef", "ab")], "a string, b string")
     assert K.length_violations(t, {"a": 5, "b": 5}, ["b"]).first().too_long == ["a"]
+
+
+def test_versioned_table_upsert(spark, tmpdir_path):
+    from feedloom.operators import tables as TB
+    root = tmpdir_path + "/registry"
+    first = spark.createDataFrame([("P1", "a", "t1"), ("P2", "b", "t2")], "product_id string, title string, table_name string")
+    assert TB.upsert_table(spark, root, first, ["product_id"], ["title"], ["table_name"], NOW) == 1
+    reader = TB.read_current(spark, root)  # a reader holding version 1
+    new = spark.createDataFrame([("P2", "B", "zz"), ("P3", "c", "t3")], "product_id string, title string, table_name string")
+    assert TB.upsert_table(spark, root, new, ["product_id"], ["title"], ["table_name"], NOW) == 2
+    cur = {r.product_id: (r.title, r.table_name) for r in TB.read_current(spark, root).collect()}
+    assert cur == {"P1": ("a", "t1"), "P2": ("B", "t2"), "P3": ("c", "t3")}
+    assert reader.count() == 2  # version 1 is untouched
+    TB.upsert_table(spark, root, new, ["product_id"], ["title"], ["table_name"], NOW)
+    assert len(TB.vacuum(spark, root, keep=2)) == 1 and TB.current_version(spark, root) == 3
