@@ -81,3 +81,19 @@ def first_by_aggregate(df: DataFrame, group: list[str], order: list[str], cols:
     s = F.struct(*[F.col(c) for c in cols])
     o = F.struct(*[F.col(c) for c in order])
     return df.groupBy(*group).agg(F.min_by(s, o).alias("__f")).select(*group, "__f.*")
+
+
+def file_positions(scan: DataFrame, name: str = "row_position") -> DataFrame:
+    """Row position inside each source file, in file order, for a text/CSV scan.
+
+    ``scan`` must carry ``file_path`` and ``block_start`` (from ``_metadata``) and is tagged
+    here with ``monotonically_increasing_id`` right at the scan, where rows are still in file
+    order.  Counts per (file, block) form a small table whose prefix sums give each block's
+    offset; a big file is therefore never funnelled through one task.
+    """
+    d = scan.withColumn("__mid", F.monotonically_increasing_id())
+    blocks = d.groupBy("file_path", "block_start").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__m0"))
+    w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    j = d.join(blocks.select("file_path", "block_start", "__off", "__m0"), ["file_path", "block_start"])
+    return j.withColumn(name, F.col("__off") + F.col("__mid") - F.col("__m0")).drop("__mid", "__off", "__m0")

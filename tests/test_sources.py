@@ -96,3 +96,18 @@ def test_listing_heads_inventory(spark, tmpdir_path):
     assert FS.file_hashes(spark, tmpdir_path, "*.xml").first().file_hash == __import__("hashlib").md5(b"<r/>\n").hexdigest()
 
 
+
+
+def test_csv_file_positions_and_batches(spark, tmpdir_path):
+    for name, n in [("a.csv", 2500), ("b.csv", 7)]:
+        with open(os.path.join(tmpdir_path, name), "w") as f:
+            f.write("serial_no,note\n" + "".join(f"{i},row {i}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        df = CS.load_clean(spark, os.path.join(tmpdir_path, "*.csv"), "TRCFECO2", batch_size=1000)
+        rows = [(os.path.basename(r.file_path), r.row_position, r.serial_no, r.batch_number) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert all(pos == serial and b == pos // 1000 for _, pos, serial, b in rows)
+    assert sorted(r[1] for r in rows if r[0] == "a.csv") == list(range(2500))
