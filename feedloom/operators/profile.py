@@ -176,13 +176,60 @@ def element_walk(records: DataFrame, col: str = "record") -> DataFrame:
     return records.select(col).mapInPandas(lambda it: _walk_batches(it, col), WALK_SCHEMA)
 
 
+PARTIAL_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("occurrences", T.LongType()),
+    T.StructField("depth", T.IntegerType()), T.StructField("attrs", T.ArrayType(T.StringType())),
+    T.StructField("children", T.ArrayType(T.StringType())), T.StructField("has_text", T.BooleanType()),
+])
+
+
+def _partial_batches(it, col):
+    import re
+    import xml.etree.ElementTree as ET
+
+    import pandas as pd
+    strip = re.compile(r"<(/?)[A-Za-z0-9_.-]+:")
+    for pdf in it:
+        acc: dict = {}
+        for text in pdf[col]:
+            if text is None:
+                continue
+            try:
+                root = ET.fromstring(strip.sub(r"<\1", text))
+            except ET.ParseError:
+                continue
+            stack = [(root, _local(root.tag), 0)]
+            while stack:
+                el, path, depth = stack.pop()
+                kids = list(el)
+                names = [_local(k.tag) for k in kids]
+                a = acc.get(path)
+                if a is None:
+                    a = acc[path] = [0, depth, set(), set(), False]
+                a[0] += 1
+                a[2].update(_local(x) for x in el.attrib)
+                a[3].update(names)
+                a[4] = a[4] or bool(el.text and el.text.strip())
+                stack.extend((k, f"{path}/{n}", depth + 1) for k, n in zip(kids, names))
+        yield pd.DataFrame([(p, v[0], v[1], sorted(v[2]), sorted(v[3]), v[4]) for p, v in acc.items()],
+                           columns=[f.name for f in PARTIAL_SCHEMA.fields])
+
+
+def path_profile_partials(records: DataFrame, col: str = "record") -> DataFrame:
+    """X11 pre-aggregated: per Arrow batch, one row per element path (count, depth, names, text)."""
+    return records.select(col).mapInPandas(lambda it: _partial_batches(it, col), PARTIAL_SCHEMA)
+
+
 def xml_path_profile(walk: DataFrame) -> DataFrame:
     """Per path: occurrences, depth, attribute names, child tags, whether any has text.
 
-    Sets collected here are sets of tag/attribute *names* (bounded by the vocabulary), not values.
+    Accepts the element walk or its per-batch partials (``path_profile_partials``): both carry
+    ``path, depth, attrs, children, has_text`` and, for partials, ``occurrences``.  Sets
+    collected here are sets of tag/attribute *names* (bounded by the vocabulary), not values.
     """
+    occ = F.sum("occurrences") if "occurrences" in walk.columns else F.count(F.lit(1))
     return walk.groupBy("path").agg(
-        F.count(F.lit(1)).alias("occurrences"), F.min("depth").alias("depth"),
+        occ.cast("bigint").alias("occurrences"), F.min("depth").alias("depth"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("attrs")))).alias("attributes"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("children")))).alias("child_tags"),
         F.bool_or("has_text").alias("has_text"))
