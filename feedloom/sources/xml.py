@@ -31,8 +31,27 @@ def close_tag(tag: str, prefix: str | None = None) -> str:
     return f"</{prefix}:{tag}>" if prefix else f"</{tag}>"
 
 
+def detect_prefix(spark: SparkSession, paths, tag: str, head: int = 2000) -> str | None:
+    """Namespace prefix used for ``tag`` (e.g. 'ns' for ``<ns:tag>``), from a bounded head sample.
+
+    The split scan needs the literal close tag, prefix included.  Only the first ``head``
+    lines reach the driver.
+    """
+    pat = re.compile(r"<([A-Za-z_][\w.-]*):" + re.escape(tag) + r"[\s>/]")
+    for row in spark.read.text(paths).limit(head).collect():
+        m = pat.search(row["value"])
+        if m:
+            return m.group(1)
+    return None
+
+
 def record_texts(spark: SparkSession, paths, tag: str, prefix: str | None = None) -> DataFrame:
-    """One row per record: (file_path, block_start, record) -- the raw XML of each ``tag`` element."""
+    """One row per record: (file_path, block_start, record) -- the raw XML of each ``tag`` element.
+
+    ``prefix="auto"`` detects a namespace prefix from the head of the files.
+    """
+    if prefix == "auto":
+        prefix = detect_prefix(spark, paths, tag)
     end = close_tag(tag, prefix)
     raw = (spark.read.option("lineSep", end).option("wholetext", "false").text(paths)
            .select("value", F.col("_metadata.file_path").alias("file_path"),

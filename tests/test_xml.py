@@ -85,3 +85,10 @@ def test_malformed_record_is_rejected_not_fatal(spark, tmpdir_path):
                                      "<case-file><serial-number>2</case-file></r>")
     parsed = XS.read_xml(spark, p, "case-file", X.CASE_FILE_SCHEMA)
     assert parsed.filter(F.col("rec._corrupt_record").isNotNull()).count() == 1
+
+
+def test_prefix_auto_detection(spark, tmpdir_path):
+    p = _write(tmpdir_path, "ns.xml", ASSIGN)
+    assert XS.detect_prefix(spark, p, "assignment-entry") == "ns"
+    parsed = XS.read_xml(spark, p, "assignment-entry", X.ASSIGNMENT_SCHEMA, prefix="auto")
+    assert parsed.count() == 3
