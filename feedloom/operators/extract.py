@@ -99,9 +99,10 @@ def case_file_columns(rec: Column, schema_match: bool = True) -> list[Column]:
     return [v.alias(k) for k, v in out.items()]
 
 
-def extract_case_files(parsed: DataFrame, product_id: str, schema_match: bool = True) -> DataFrame:
+def extract_case_files(parsed: DataFrame, product_id: str, schema_match: bool = True,
+                       keep: tuple = ("file_path",)) -> DataFrame:
     rec = F.col("rec")
-    return parsed.select("file_path", *case_file_columns(rec, schema_match),
+    return parsed.select(*keep, *case_file_columns(rec, schema_match),
                          C.lineage_source(F.lit(product_id), "xml").alias("data_source"),
                          F.col("rec._corrupt_record").alias("_corrupt_record"))
 
@@ -156,15 +157,16 @@ def _property_cols(p: Column) -> dict[str, Column]:
     }
 
 
-def assignments_per_property(parsed: DataFrame, product_id: str, keep_empty: bool = False) -> DataFrame:
+def assignments_per_property(parsed: DataFrame, product_id: str, keep_empty: bool = False,
+                             keep: tuple = ("file_path",)) -> DataFrame:
     """One row per property with the entry's fields repeated; entries without property are
     skipped (``keep_empty`` keeps them once with NULL property fields)."""
     base = assignment_base(F.col("rec"))
     props = _g(F.col("rec"), "properties", "property")
     ex = F.explode_outer(props) if keep_empty else F.explode(props)
-    d = parsed.select("file_path", *[v.alias(k) for k, v in base.items()], ex.alias("__p"))
+    d = parsed.select(*keep, *[v.alias(k) for k, v in base.items()], ex.alias("__p"))
     pc = _property_cols(F.col("__p"))
-    return d.select("file_path", *base.keys(), *[v.alias(k) for k, v in pc.items()],
+    return d.select(*keep, *base.keys(), *[v.alias(k) for k, v in pc.items()],
                     C.lineage_source(F.lit(product_id), "xml").alias("data_source"))
 
 
@@ -204,8 +206,8 @@ def proceeding_columns(rec: Column) -> list[Column]:
     return [v.alias(k) for k, v in out.items()]
 
 
-def extract_proceedings(parsed: DataFrame, product_id: str) -> DataFrame:
+def extract_proceedings(parsed: DataFrame, product_id: str, keep: tuple = ("file_path",)) -> DataFrame:
     """One row per proceeding."""
-    return parsed.select("file_path", *proceeding_columns(F.col("rec")),
+    return parsed.select(*keep, *proceeding_columns(F.col("rec")),
                          C.lineage_source(F.lit(product_id), "xml").alias("data_source"),
                          F.col("rec._corrupt_record").alias("_corrupt_record"))

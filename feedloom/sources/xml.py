@@ -45,7 +45,8 @@ def detect_prefix(spark: SparkSession, paths, tag: str, head: int = 2000) -> str
     return None
 
 
-def record_texts(spark: SparkSession, paths, tag: str, prefix: str | None = None) -> DataFrame:
+def record_texts(spark: SparkSession, paths, tag: str, prefix: str | None = None,
+                 glob: str | None = None) -> DataFrame:
     """One row per record: (file_path, block_start, record) -- the raw XML of each ``tag`` element.
 
     ``prefix="auto"`` detects a namespace prefix from the head of the files.
@@ -53,7 +54,10 @@ def record_texts(spark: SparkSession, paths, tag: str, prefix: str | None = None
     if prefix == "auto":
         prefix = detect_prefix(spark, paths, tag)
     end = close_tag(tag, prefix)
-    raw = (spark.read.option("lineSep", end).option("wholetext", "false").text(paths)
+    reader = spark.read
+    if glob:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    raw = (reader.option("lineSep", end).option("wholetext", "false").text(paths)
            .select("value", F.col("_metadata.file_path").alias("file_path"),
                    F.col("_metadata.file_block_start").alias("block_start")))
     name = f"{prefix}:{tag}" if prefix else tag
@@ -75,9 +79,10 @@ def parse_records(records: DataFrame, schema: T.StructType, col: str = "record")
     return records.withColumn("rec", F.from_xml(F.col(col), sch, XML_OPTIONS))
 
 
-def read_xml(spark: SparkSession, paths, tag: str, schema: T.StructType, prefix: str | None = None) -> DataFrame:
+def read_xml(spark: SparkSession, paths, tag: str, schema: T.StructType, prefix: str | None = None,
+             glob: str | None = None) -> DataFrame:
     """Split scan + parse; columns: file_path, block_start, record, rec (struct)."""
-    return parse_records(record_texts(spark, paths, tag, prefix), schema)
+    return parse_records(record_texts(spark, paths, tag, prefix, glob), schema)
 
 
 def read_xml_small(spark: SparkSession, paths, tag: str, schema: T.StructType) -> DataFrame:
@@ -87,9 +92,9 @@ def read_xml_small(spark: SparkSession, paths, tag: str, schema: T.StructType) -
 
 
 def read_family(spark: SparkSession, paths, family: str, schema: T.StructType,
-                prefix: str | None = None) -> DataFrame:
+                prefix: str | None = None, glob: str | None = None) -> DataFrame:
     """Every record tag of a family, one split scan per tag, unioned."""
-    frames = [read_xml(spark, paths, t, schema, prefix).withColumn("record_tag", F.lit(t))
+    frames = [read_xml(spark, paths, t, schema, prefix, glob).withColumn("record_tag", F.lit(t))
               for t in S.RECORD_TAGS[family]]
     out = frames[0]
     for f in frames[1:]:
