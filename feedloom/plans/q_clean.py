@@ -185,7 +185,7 @@ def address_line(spark, d):
     return c.select("c_custkey", C.join_present(p1, p2, p3).alias("address"))
 
 
-@query("goods_merge", "F5", f"""
+@query("goods_merge", "F5 U4", f"""
 SELECT p_partkey, NULLIF(array_to_string(list_filter(l, lambda x, i: x IS NOT NULL AND NOT list_contains(l[1:i-1], x)),
        '; '), '') AS goods_services
 FROM (SELECT p_partkey, [NULLIF({ws('p_type')}, ''), NULLIF({ws('p_brand')}, ''),

@@ -162,3 +162,28 @@ def proceeding_records(orders_with_names: DataFrame) -> DataFrame:
                F.when(k % 2 == 0, el("goods", F.col("o_orderpriority"))).otherwise(F.lit("")),
                indent="\n")
     return orders_with_names.select(rec.alias("value"))
+
+
+def write_xml_documents(records: DataFrame, spark: SparkSession, name: str, root_tag: str,
+                        files: int = 4) -> str:
+    """Write one well-formed XML document per partition: prologue, ``<root_tag>``, the records."""
+    path = scratch_path(spark, name)
+
+    def run(it):
+        import uuid
+
+        import pandas as pd
+
+        from feedloom.session import open_output
+        parts = []
+        for pdf in it:
+            parts.extend(v for v in pdf["value"] if v is not None)
+        if parts:
+            body = "\n".join(parts)
+            doc = f'<?xml version="1.0" encoding="UTF-8"?>\n<{root_tag}>\n{body}\n</{root_tag}>\n'
+            with open_output(f"{path}/part-{uuid.uuid4().hex}.xml") as out:
+                out.write(doc.encode("utf-8"))
+        yield pd.DataFrame({"records": [len(parts)]})
+
+    records.select("value").repartition(files).mapInPandas(run, "records long").agg(F.sum("records")).first()
+    return path

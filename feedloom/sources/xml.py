@@ -87,10 +87,19 @@ def read_xml(spark: SparkSession, paths, tag: str, schema: T.StructType, prefix:
 
 def read_xml_small(spark: SparkSession, paths, tag: str, schema: T.StructType) -> DataFrame:
     """The built-in reader (one task per file); fine for small daily files."""
+    if "_corrupt_record" not in schema.fieldNames():
+        schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     r = spark.read.format("xml").option("rowTag", tag).options(**XML_OPTIONS).schema(schema).load(paths)
     return r
 
 
+def read_xml_whole(spark: SparkSession, paths, tag: str, schema: T.StructType) -> DataFrame:
+    """S5 in the split-scan layout (file_path + ``rec`` struct), so the same extractors apply."""
+    r = read_xml_small(spark, paths, tag, schema)
+    return r.select(F.col("_metadata.file_path").alias("file_path"),
+                    F.struct(*[F.col(f"`{c}`") for c in r.columns]).alias("rec"))
+
+
 def read_family(spark: SparkSession, paths, family: str, schema: T.StructType,
                 prefix: str | None = None, glob: str | None = None) -> DataFrame:
     """Every record tag of a family, one split scan per tag, unioned."""
