@@ -70,7 +70,16 @@ def first_n_per_group(df: DataFrame, group: list[str], order: list, n: int,
 
 
 def keep_first(df: DataFrame, key: list[str], order: list, tiebreak: list[str] | None = None) -> DataFrame:
-    """One row per key, the first by ``order`` (conflict semantics of insert-ignore)."""
+    """One row per key, the first by ``order`` (conflict semantics of insert-ignore).
+
+    With ascending column-name orderings this is a ``min_by`` aggregation: one shuffle with
+    map-side combining, so a key holding a third of the rows shrinks to one row per task
+    before the exchange.  Other orderings use the salted two-stage window.
+    """
+    names = list(order) + list(tiebreak or [])
+    if all(isinstance(c, str) for c in names):
+        rest = [c for c in df.columns if c not in key]
+        return first_by_aggregate(df, key, names, rest).select(*df.columns)
     return first_n_per_group(df, key, order, 1, tiebreak=tiebreak)
 
 
