@@ -166,7 +166,11 @@ def proceeding_records(orders_with_names: DataFrame) -> DataFrame:
 
 def write_xml_documents(records: DataFrame, spark: SparkSession, name: str, root_tag: str,
                         files: int = 4) -> str:
-    """Write one well-formed XML document per partition: prologue, ``<root_tag>``, the records."""
+    """Write one well-formed XML document per partition: prologue, ``<root_tag>``, the records.
+
+    Records are streamed to the output batch by batch (Arrow batches), so a task holds at
+    most one batch in memory whatever the partition size.
+    """
     path = scratch_path(spark, name)
 
     def run(it):
@@ -175,15 +179,23 @@ def write_xml_documents(records: DataFrame, spark: SparkSession, name: str, root
         import pandas as pd
 
         from feedloom.session import open_output
-        parts = []
-        for pdf in it:
-            parts.extend(v for v in pdf["value"] if v is not None)
-        if parts:
-            body = "\n".join(parts)
-            doc = f'<?xml version="1.0" encoding="UTF-8"?>\n<{root_tag}>\n{body}\n</{root_tag}>\n'
-            with open_output(f"{path}/part-{uuid.uuid4().hex}.xml") as out:
-                out.write(doc.encode("utf-8"))
-        yield pd.DataFrame({"records": [len(parts)]})
+        out, n = None, 0
+        try:
+            for pdf in it:
+                vals = [v for v in pdf["value"] if v is not None]
+                if not vals:
+                    continue
+                if out is None:
+                    out = open_output(f"{path}/part-{uuid.uuid4().hex}.xml")
+                    out.write(f'<?xml version="1.0" encoding="UTF-8"?>\n<{root_tag}>\n'.encode("utf-8"))
+                out.write(("\n".join(vals) + "\n").encode("utf-8"))
+                n += len(vals)
+            if out is not None:
+                out.write(f"</{root_tag}>\n".encode("utf-8"))
+        finally:
+            if out is not None:
+                out.close()
+        yield pd.DataFrame({"records": [n]})
 
     records.select("value").repartition(files).mapInPandas(run, "records long").agg(F.sum("records")).first()
     return path
