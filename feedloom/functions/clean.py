@@ -22,8 +22,11 @@ WHITESPACE = " \t\n\x0b\x0c\r"
 # Shapes the parsers can accept; parsing is only attempted on these (cheap guards).
 NUMBER_SHAPE = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 NUMBER_WORDS = ["nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
-DATE_FORMATS = [("yyyy-MM-dd", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), ("yyyyMMdd", r"^[0-9]{8}$"),
-                ("MM/dd/yyyy", r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$")]
+# Month and day ranges are in the guards: failed parses are costly (exception path), and
+# 8-digit keys would otherwise all be tried as yyyyMMdd dates.
+_MM, _DD = "(0[1-9]|1[0-2])", "(0[1-9]|[12][0-9]|3[01])"
+DATE_FORMATS = [("yyyy-MM-dd", rf"^[0-9]{{4}}-{_MM}-{_DD}$"), ("yyyyMMdd", rf"^[0-9]{{4}}{_MM}{_DD}$"),
+                ("MM/dd/yyyy", rf"^{_MM}/{_DD}/[0-9]{{4}}$")]
 
 
 def strip_ws(c) -> Column:
@@ -105,7 +108,7 @@ def to_whole_number(c) -> Column:
 def yyyymmdd_to_date(c) -> Column:
     """'YYYYMMDD' -> DATE; NULL unless 8 digits and a real calendar day."""
     s = strip_ws(c)
-    return F.when(s.rlike(r"^[0-9]{8}$"), F.try_to_date(s, "yyyyMMdd")).otherwise(F.lit(None).cast("date"))
+    return F.when(s.rlike(DATE_FORMATS[1][1]), F.try_to_date(s, "yyyyMMdd")).otherwise(F.lit(None).cast("date"))
 
 
 def yyyymmdd_to_iso_text(c) -> Column:
