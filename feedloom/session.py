@@ -103,4 +103,7 @@ def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict[str, str]:
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Streaming dedup / state keys scale with the data: keep them in RocksDB, not the JVM heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }

@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 
 from feedloom.functions import clean as C
 from feedloom.functions import names as N
-from feedloom.session import path_exists
 
 
 def _run(stream_writer, timeout: int | None = None):
@@ -35,29 +34,27 @@ def _run(stream_writer, timeout: int | None = None):
 def ingest_csv_stream(spark: SparkSession, source: str, columns: list[str], target: str, checkpoint: str,
                       product_id: str, key: list[str], keep: list[str] | None = None,
                       files_per_batch: int = 1) -> str:
-    """ST1: load newly arrived CSV files exactly once; re-running resumes from the checkpoint."""
+    """ST1: load newly arrived CSV files exactly once; re-running resumes from the checkpoint.
+
+    Cleaning runs on the stream; first-wins dedup is streaming ``dropDuplicates`` on the cleaned
+    key, so seen keys live in the state store (use the RocksDB provider on a cluster) instead of
+    re-reading the stored table every micro-batch.  The sink writes each batch to its own folder
+    with overwrite, so a retried batch replaces its own output.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     stream = (spark.readStream.schema(schema).option("header", "true").option("maxFilesPerTrigger", files_per_batch)
               .csv(source).withColumn("file_path", F.col("_metadata.file_path")))
     keep = set(keep or [])
+    renamed = N.apply_aliases(stream, "canonical")
+    typed = renamed.select(*[F.col(c) if c in keep or c == "file_path" else C.clean_by_name(c).alias(c)
+                             for c in renamed.columns],
+                           C.lineage_source(F.lit(product_id), "csv").alias("data_source"))
+    first = typed.dropDuplicates(key)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        renamed = N.apply_aliases(batch, "canonical")
-        typed = renamed.select(*[F.col(c) if c in keep or c == "file_path" else C.clean_by_name(c).alias(c)
-                                 for c in renamed.columns],
-                               C.lineage_source(F.lit(product_id), "csv").alias("data_source"))
-        first = typed.dropDuplicates(key)
-        if path_exists(spark, target):
-            stored = spark.read.parquet(target).filter(F.col("batch_id") != batch_id) \
-                .select(*[F.col(k).alias(f"__s_{k}") for k in key])
-            cond = None
-            for k in key:  # NULL-safe key match: a NULL key equals a stored NULL key
-                c = F.col(k).eqNullSafe(F.col(f"__s_{k}"))
-                cond = c if cond is None else (cond & c)
-            first = first.join(stored, cond, "left_anti")
-        first.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-
-    _run(stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint))
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
+    _run(first.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint))
     return target
 
 
