@@ -199,3 +199,17 @@ def write_xml_documents(records: DataFrame, spark: SparkSession, name: str, root
 
     records.select("value").repartition(files).mapInPandas(run, "records long").agg(F.sum("records")).first()
     return path
+
+
+_RENDERED: dict[tuple, str] = {}
+
+
+def rendered(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Render a fixture once per (application, input folder, name); reuse while its folder exists."""
+    from feedloom.session import path_exists
+    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    p = _RENDERED.get(k)
+    if p is None or not path_exists(spark, p):
+        p = build()
+        _RENDERED[k] = p
+    return p
