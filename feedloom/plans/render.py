@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.session import scratch_path
+from feedloom.session import open_output, scratch_path
 
 
 def esc(c) -> Column:
@@ -178,7 +178,6 @@ def write_xml_documents(records: DataFrame, spark: SparkSession, name: str, root
 
         import pandas as pd
 
-        from feedloom.session import open_output
         out, n = None, 0
         try:
             for pdf in it:
