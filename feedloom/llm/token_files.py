@@ -2,7 +2,8 @@
 
 Documents are range-partitioned and sorted by id, each partition encodes its documents and writes
 
-* ``<part>.ids``  all token ids, little-endian unsigned 32-bit, nothing between documents;
+* ``<part>.ids``  all token ids, little-endian unsigned (16 bits if the vocabulary allows, else 32), nothing between
+  documents;
 * ``<part>.off``  little-endian unsigned 64-bit offsets into it, one per document plus the end;
 * ``<part>.doc``  little-endian signed 64-bit document ids.
 
@@ -16,7 +17,6 @@ table gives no files and an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import array
 import re
 import zlib
 from itertools import accumulate, chain
@@ -28,82 +28,88 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import slices, table, text_bytes, worker_cache
 from feedloom.session import open_output, scratch_path
 
-#: Word types kept per worker before the cache starts anew.
-CACHE_TYPES = 300_000
-MANIFEST = "part int, path string, n_docs long, n_null long, n_ids long"
+#: Word types and plain cores kept per worker before that cache starts anew.
+CACHE_TYPES, CACHE_CORES = 700_000, 800_000
+MANIFEST = "part int, path string, dtype string, n_docs long, n_null long, n_ids long"
 #: Words of these letters are one token sequence whatever stands around them, case apart; so is a
 #: run of these signs after them.
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\[-`{}~]*)")
 
 
 class WordEncoder:
-    """Encodes white-space separated words with a ``tokenizers`` file and remembers them.
+    """Encodes white-space separated words with a ``tokenizers`` file and remembers their ids as bytes.
 
     White space never gets an id and no rule of the tokenizer looks across it, so a text's ids are its
     words' ids.  New plain words go to the library many at a time, joined by spaces; a word ends at the
     id whose piece carries the end-of-word mark.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        top = max(end_id, *vocab.values())
+        self.dtype = id_dtype(top)
+        self.end = np.array([end_id], self.dtype).tobytes()
+        self.ends = np.zeros(top + 1, bool)
         self.ends[[i for piece, i in vocab.items() if piece.endswith("</w>")]] = True
-        self.types: dict[bytes, list[int]] = {}
-        self.cores: dict[str, list[int]] = {}
+        self.types: dict[bytes, bytes] = {}
+        self.cores: dict[str, bytes] = {}
+
+    def pack(self, ids) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
 
     def plain(self, words: list[str]) -> None:
-        for i in range(0, len(words), 1000):
-            part = words[i:i + 1000]
-            ids = self.tok.encode(" ".join(part), add_special_tokens=False).ids
-            cut = np.flatnonzero(self.ends[ids]) + 1
+        wide = np.dtype(self.dtype).itemsize
+        parts = [words[i:i + 1000] for i in range(0, len(words), 1000)]
+        for part, e in zip(parts, self.tok.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, np.int64)
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * wide
             if len(cut) == len(part):
-                at = 0
+                data, at = self.pack(ids), 0
                 for w, end in zip(part, cut.tolist()):
-                    self.cores[w] = ids[at:end]
+                    self.cores[w] = data[at:end]
                     at = end
             else:
                 for w in part:
-                    self.cores[w] = self.tok.encode(w, add_special_tokens=False).ids
+                    self.cores[w] = self.pack(self.tok.encode(w, add_special_tokens=False).ids)
 
     def learn(self, new: list[bytes]) -> None:
-        if len(self.types) + len(new) > CACHE_TYPES:
-            self.types.clear()
-            self.cores.clear()
-        split, odd, cores, known = [], [], {}, self.cores
+        split, odd, cores, known, match = [], [], {}, self.cores, PLAIN.fullmatch
         for w in new:
-            s = w.decode()
-            if m := PLAIN.fullmatch(s):
-                core = m[1].lower()
-                split.append((w, core, m[2]))
+            if m := match(s := w.decode()):
+                core, tail = m[1].lower(), m[2]
+                split.append((w, core, tail))
                 if core not in known:
                     cores[core] = None
+                if tail and tail not in known:
+                    known[tail] = self.pack(self.tok.encode(tail, add_special_tokens=False).ids)
             else:
                 odd.append((w, s))
         self.plain(list(cores))
         for w, core, tail in split:
-            if tail and tail not in known:
-                known[tail] = self.tok.encode(tail, add_special_tokens=False).ids
             self.types[w] = known[core] + known[tail] if tail else known[core]
         for (w, _), e in zip(odd, self.tok.encode_batch([s for _, s in odd], add_special_tokens=False)):
-            self.types[w] = e.ids
+            self.types[w] = self.pack(e.ids)
 
-    def encode(self, texts: list[bytes], end_id: int) -> list[array.array]:
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Each text's ids, with the end id, as ``dtype`` bytes."""
         words = [t.split() for t in texts]
         wanted = set(chain.from_iterable(words))
-        if new := [w for w in wanted if w not in self.types]:
-            size = len(self.types)
-            self.learn(new)
-            if len(self.types) < size + len(new):  # the cache started anew
-                self.learn([w for w in wanted if w not in self.types])
+        wanted.difference_update(self.types)
+        if len(self.types) + len(wanted) > CACHE_TYPES:
+            self.types.clear()
+            wanted = set(chain.from_iterable(words))
+        if len(self.cores) > CACHE_CORES:
+            self.cores.clear()
+        self.learn(list(wanted))
         get = self.types.__getitem__
-        out = []
-        for ws in words:
-            a = array.array("I", chain.from_iterable(map(get, ws)))
-            a.append(end_id)
-            out.append(a)
-        return out
+        return [b"".join(map(get, ws)) + self.end for ws in words]
+
+
+def id_dtype(top: int) -> str:
+    """Narrowest little-endian unsigned type that holds the ids up to ``top``."""
+    return "<u2" if top < 1 << 16 else "<u4"
 
 
 def write_files(df: DataFrame, out_dir: str, tokenizer_path: str, id_col: str = "doc_id",
@@ -121,9 +127,11 @@ def write_files(df: DataFrame, out_dir: str, tokenizer_path: str, id_col: str =
         import pandas as pd
         from pyspark import TaskContext
         cache = worker_cache("word_encoder")
-        if tokenizer_path not in cache:
-            cache[tokenizer_path] = WordEncoder(tokenizer_path)
-        enc, part = cache[tokenizer_path], TaskContext.get().partitionId()
+        key = (tokenizer_path, end_id)
+        if key not in cache:
+            cache[key] = WordEncoder(*key)
+        enc, part = cache[key], TaskContext.get().partitionId()
+        wide = np.dtype(enc.dtype).itemsize
         path, files = f"{out_dir}/part-{part:05d}-{uuid.uuid4().hex[:8]}", None
         docs = nulls = ids = 0
         for pdf in batches:
@@ -132,10 +140,9 @@ def write_files(df: DataFrame, out_dir: str, tokenizer_path: str, id_col: str =
                 files = [open_output(path + x) for x in (".ids", ".off", ".doc")]
                 files[1].write(np.zeros(1, "<u8").tobytes())
             for i, j in slices(texts):
-                out = enc.encode(texts[i:j], end_id)
-                offs = ids + np.cumsum([len(a) for a in out])
-                for a in out:
-                    files[0].write(np.frombuffer(a, np.uint32).astype("<u4", copy=False).tobytes())
+                out = enc.encode(texts[i:j])
+                offs = ids + np.cumsum([len(a) // wide for a in out])
+                files[0].write(b"".join(out))
                 files[1].write(offs.astype("<u8").tobytes())
                 ids = int(offs[-1])
             null = pdf["id"].isna()
@@ -146,7 +153,8 @@ def write_files(df: DataFrame, out_dir: str, tokenizer_path: str, id_col: str =
         if files:
             for f in files:
                 f.close()
-            yield pd.DataFrame([(part, path, docs, nulls, ids)], columns=["part", "path", "n_docs", "n_null", "n_ids"])
+            yield pd.DataFrame([(part, path, enc.dtype, docs, nulls, ids)],
+                               columns=["part", "path", "dtype", "n_docs", "n_null", "n_ids"])
 
     rows = (src.repartitionByRange(n, "id", "h").sortWithinPartitions("id", "h").select("id", "t")
             .mapInPandas(write, MANIFEST).collect())
@@ -185,7 +193,7 @@ def read_files(spark: SparkSession, manifest: list, chunk_docs: int = 4096) -> D
                 for i in range(0, r.n_docs, chunk_docs):
                     j = min(i + chunk_docs, r.n_docs)
                     o = off("<u8", i, j + 1).astype(np.int64)
-                    a = ids("<u4", int(o[0]), int(o[-1]))
+                    a = ids(r.dtype, int(o[0]), int(o[-1])).astype("<u4")
                     rel = (o - o[0]).tolist()
                     crc = [zlib.crc32(a[x:y].tobytes()) for x, y in zip(rel, rel[1:])]
                     d = pd.array(doc("<i8", i, j), "Int64")
