@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import materialize, table, text_bytes
+from feedloom.llm.common import materialize, mix, table, text_bytes
 from feedloom.llm.shingles import shingle_sets
 
 FREQUENT = 64
@@ -52,40 +52,41 @@ def signed(a: np.ndarray) -> np.ndarray:
 
 
 def prefixes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n tokens, class (hash of the whole set), prefix (only for a class's first document in the task)."""
+    """id, n tokens, class (hash of the whole set), last token of the prefix (unsigned order), prefix (only for a
+    class's first document in the task)."""
     def run(batches):
         import pandas as pd
         seen = set()
         for pdf in batches:
-            n, cls, pre = [], [], []
+            n, cls, pre, last = [], [], [], []
             for s in shingle_sets(pdf["t"].tolist()):
                 k = len(s)
                 c = int((s * np.uint64(0x9E3779B97F4A7C15) ^ (s >> np.uint64(29))).sum(dtype=np.uint64)) ^ (k << 40)
                 c = c - (1 << 64) if c >= 1 << 63 else c
+                zone = s[:k // 4 + 1 + max(1, k // 32)]
                 n.append(k)
                 cls.append(c)
+                last.append(int(zone[-1]) - (1 << 63) if k else 0)
                 if k < 3 or c in seen:
                     pre.append(None)
                 else:
                     seen.add(c)
-                    pre.append(signed(s[:k // 4 + 1 + max(1, k // 32)]))
-            yield pd.DataFrame({"id": pdf["id"], "n": n, "cls": cls, "prefix": pre})
+                    pre.append(signed(zone))
+            yield pd.DataFrame({"id": pdf["id"], "n": n, "cls": cls, "last": last, "prefix": pre})
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t"))
-    return rows.mapInPandas(run, "id long, n long, cls long, prefix array<long>")
+    return rows.mapInPandas(run, "id long, n long, cls long, last long, prefix array<long>")
 
 
 def combinations(rows: DataFrame) -> DataFrame:
-    """(id, n, short, tokens) -> (sig, id, n, short): 2-combinations within the sub-classes of two levels."""
+    """(id, n, tokens) -> (sig, level, id): 2-combinations within the sub-classes of two levels."""
     def run(batches):
         import pandas as pd
-        from feedloom.llm.common import mix
         for pdf in batches:
-            ids, ns, shorts, sigs = [], [], [], []
-            for r in pdf.itertuples():
-                t = np.sort(np.asarray(r.tokens, np.int64).view(np.uint64))
-                g = level_groups(r.n)
-                got = []
+            sigs, of = [], []
+            for i, n, tokens in zip(pdf["id"], pdf["n"], pdf["tokens"]):
+                t = np.sort(np.asarray(tokens, np.int64).view(np.uint64))
+                g = level_groups(n)
                 for level in {g, max(1, g // 2)}:
                     cls = t % np.uint64(level)
                     o = np.argsort(cls, kind="stable")
@@ -94,20 +95,31 @@ def combinations(rows: DataFrame) -> DataFrame:
                         same = np.flatnonzero(c[gap:] == c[:-gap])
                         if not len(same):
                             break
-                        got.append(mix(u[same] * np.uint64(0x9E3779B97F4A7C15) + mix(u[same + gap] + np.uint64(level))))
-                if got:
-                    s = np.unique(np.concatenate(got))
-                    sigs.append(signed(s))
-                    ids.append(np.full(len(s), r.id))
-                    ns.append(np.full(len(s), r.n))
-                    shorts.append(np.full(len(s), r.short))
-                if sum(map(len, sigs)) > 200_000:
-                    yield pd.DataFrame({"sig": np.concatenate(sigs), "id": np.concatenate(ids), "n": np.concatenate(ns), "short": np.concatenate(shorts)})
-                    ids, ns, shorts, sigs = [], [], [], []
+                        sigs.append(mix(u[same] * np.uint64(0x9E3779B97F4A7C15) + mix(u[same + gap] + np.uint64(level))))
+                        of.append((level, i, len(same)))
             if sigs:
-                yield pd.DataFrame({"sig": np.concatenate(sigs), "id": np.concatenate(ids), "n": np.concatenate(ns), "short": np.concatenate(shorts)})
+                level, i, size = np.array(of).T
+                yield pd.DataFrame({"sig": signed(np.concatenate(sigs)), "level": np.repeat(level, size), "id": np.repeat(i, size)})
 
-    return rows.select("id", "n", "short", "tokens").mapInPandas(run, "sig long, id long, n long, short boolean")
+    return rows.select("id", "n", "tokens").mapInPandas(run, "sig long, level long, id long")
+
+
+def possible(need_count: bool):
+    """Conditions that every similar pair (a, b) without a common rare token meets.
+
+    ``f`` is the side whose prefix ends first.  Its tokens that no other prefix holds are not shared, so
+    at most ``n - overlap`` of them may exist.  With ``need_count``: all its shared prefix tokens are
+    frequent, at least ``overlap - (n - prefix)``; spread over ``level`` sub-classes these make at least
+    so many common combinations (``q``).
+    """
+    first = lambda c: F.when(F.col("last_a") <= F.col("last_b"), F.col(c + "_a")).otherwise(F.col(c + "_b"))
+    overlap = F.expr("(3 * (n_a + n_b) + 6) div 7")
+    sizes = (100 * F.col("n_a") >= 75 * F.col("n_b")) & (100 * F.col("n_b") >= 75 * F.col("n_a"))
+    if not need_count:
+        return sizes & (first("alone") <= first("n") - overlap)
+    share = F.greatest(F.lit(0), overlap - first("n") + first("zone"))
+    each, rest = F.floor(share / F.col("level")), share % F.col("level")
+    return F.col("q") >= rest * each * (each + 1) / 2 + (F.col("level") - rest) * each * (each - 1) / 2
 
 
 def token_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
@@ -192,56 +204,66 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
     """Per row: id, n_shingles, component_id (smallest id reachable by links)."""
     docs = materialize(prefixes(df, id_col, text_col), "prefixes")
-    classes = materialize(docs.where("id is not null").groupBy("cls").agg(F.min("id").alias("rep"), F.max("n").alias("n")), "classes")
+    classes = materialize(docs.where("id is not null").groupBy("cls").agg(
+        F.min("id").alias("rep"), F.max("n").alias("n"), F.max("last").alias("last")), "classes")
     rows = docs.where("prefix is not null and id is not null").select("cls", F.explode("prefix").alias("sig"))
     counts = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    index = rows.join(counts, "sig").join(classes, "cls").select("sig", "c", F.col("rep").alias("id"), "n")
+    index = rows.join(counts, "sig").join(classes, "cls").select("sig", "c", F.col("rep").alias("id"), "n", "last")
     index = materialize(index.distinct(), "index")
 
     rare, heavy = index.where(F.col("c") <= frequent), index.where(F.col("c") > frequent)
     # A document short of rare tokens: those of its prefix that occur once count as rare too.
-    weight = F.sum(F.when(F.col("c") > frequent, 1).otherwise(0))
-    zone = F.floor(F.col("n") / 4) + 1 + F.greatest(F.lit(1), F.floor(F.col("n") / 32))
-    nodes = (index.groupBy("id", "n").agg(weight.alias("heavy"))
-             .withColumn("short", zone - F.col("heavy") < F.floor(F.col("n") / 4) + 1))
-    nodes = materialize(nodes, "nodes")
+    margin = F.floor(F.col("n") / 4) + 1
+    nodes = index.groupBy("id", "n", "last").agg(F.sum((F.col("c") > frequent).cast("long")).alias("heavy"), F.count(F.lit(1)).alias("twice"))
+    nodes = nodes.withColumn("zone", margin + F.greatest(F.lit(1), F.floor(F.col("n") / 32)))
+    nodes = nodes.withColumn("alone", F.col("zone") - F.col("twice")).withColumn("short", F.col("zone") - F.col("heavy") < margin)
+    power = F.pow(F.lit(2.0), F.length(F.bin("n")) - 1).cast("long")
+    nodes = materialize(nodes.withColumn("g", F.greatest(F.lit(1), F.floor(power / 32))), "nodes")
+    traits = ("n", "last", "heavy", "zone", "alone", "short", "g")
+    side = lambda s: nodes.select(F.col("id").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in traits])
 
     # Rare tokens: count the shared ones of each pair, keep pairs that can still reach the similarity.
     left = rare.select("sig", F.col("id").alias("a"), F.col("n").alias("na"))
     right = rare.select(F.col("sig").alias("sig_"), F.col("id").alias("b"), F.col("n").alias("nb"))
     near_size = (100 * F.col("na") >= 75 * F.col("nb")) & (100 * F.col("nb") >= 75 * F.col("na"))
     shared = left.join(right, (F.col("sig") == F.col("sig_")) & (F.col("a") < F.col("b")) & near_size) \
-        .groupBy("a", "na", "b", "nb").agg(F.count(F.lit(1)).alias("c"))
-    for side in "ab":
-        shared = shared.join(nodes.select(F.col("id").alias(side), F.col("n").alias("n" + side),
-                                          F.col("heavy").alias("h" + side)), [side, "n" + side])
-    least = F.ceil((F.col("na") + F.col("nb")) * 3 / 7 - F.lit(1e-9))
-    need = lambda s: least - F.col("n" + s) + (F.floor(F.col("n" + s) / 4) + 1
-                                               + F.greatest(F.lit(1), F.floor(F.col("n" + s) / 32))) - F.col("h" + s)
-    rare_pairs = materialize(shared.where(F.col("c") >= F.least(need("a"), need("b"))).select("a", "b").distinct(), "rare-pairs")
+        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+    shared = shared.join(side("a"), "a").join(side("b"), "b").where(possible(False))
+    first = lambda c: F.when(F.col("last_a") <= F.col("last_b"), F.col(c + "_a")).otherwise(F.col(c + "_b"))
+    overlap = F.expr("(3 * (n_a + n_b) + 6) div 7")
+    rare_pairs = materialize(shared.where(F.col("c") >= overlap - first("n") + first("zone") - first("heavy"))
+                             .select("a", "b").distinct(), "rare-pairs")
 
     # Combinations of frequent tokens, as far as a document short of rare tokens holds them.
-    tokens = heavy.groupBy("id", "n").agg(F.collect_set("sig").alias("tokens")).join(nodes.select("id", "n", "short"), ["id", "n"])
-    combos = materialize(combinations(tokens), "combinations")
+    tokens = heavy.groupBy("id", "n").agg(F.collect_set("sig").alias("tokens"))
+    combos = materialize(combinations(tokens).join(nodes, "id"), "combinations")
     live = combos.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min(F.when(F.col("short"), F.col("id"))).alias("hub"))
     combos = materialize(combos.join(live.where("c > 1 and hub is not null").select("sig", "hub"), "sig"), "combinations-live")
-    star_pairs = combos.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-
-    wanted = (rare_pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(combos.select("id")).distinct())
-    sets = materialize(token_sets(df, id_col, text_col, wanted), "token-sets")
-    links = materialize(verify(rare_pairs.unionByName(star_pairs).distinct(), sets), "links-first")
+    star = combos.where("id <> hub").select("level", F.col("hub").alias("a"), F.col("id").alias("b"), *[F.col(c).alias(c + "_b") for c in traits])
+    pair_level = F.col("level") == F.least("g_a", "g_b")
+    star = (star.groupBy("level", "a", "b", *[c + "_b" for c in traits]).agg(F.count(F.lit(1)).alias("q")).join(side("a"), "a")
+            .where(pair_level & possible(False) & possible(True)))
+    star_pairs = star.select("a", "b").distinct()
 
     # Combinations whose documents one comparison each did not connect: compare what is apart with all.
+    first_pairs = materialize(rare_pairs.unionByName(star_pairs).distinct(), "first-pairs")
+    wanted = first_pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(combos.select("id")).distinct()
+    sets = materialize(token_sets(df, id_col, text_col, wanted), "token-sets")
+    links = materialize(verify(first_pairs, sets), "links-first")
     label = connected_components(links)
     named = combos.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
     hub_name = label.select(F.col("id").alias("hub"), F.col("component").alias("hub_component"))
     named = named.join(hub_name, "hub", "left").withColumn("apart", F.col("component") != F.coalesce("hub_component", "hub"))
-    named = materialize(named.select("sig", "id", "n", "short", "component", "apart"), "combinations-named")
-    one = named.where("short").select("sig", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"), F.col("apart").alias("pa"))
-    two = named.select(F.col("sig").alias("sig_"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), F.col("apart").alias("pb"))
-    other = (F.col("sig") == F.col("sig_")) & (F.col("ca") != F.col("cb")) & near_size
-    rest = one.where("pa").join(two, other).unionByName(one.where("not pa").join(two.where("pb"), other)) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    named = materialize(named.select("sig", "level", "id", *traits, "component", "apart"), "combinations-named")
+    own = lambda rows, s: rows.select(
+        F.col("sig").alias("sig_" + s), "level" if s == "a" else F.col("level").alias("level_b"),
+        F.col("id").alias(s), F.col("component").alias("component_" + s), *[F.col(c).alias(f"{c}_{s}") for c in traits])
+    other = (F.col("sig_a") == F.col("sig_b")) & pair_level & (F.col("component_a") != F.col("component_b")) & possible(False)
+    rest = own(named.where("short and apart"), "a").join(own(named, "b"), other).unionByName(
+        own(named.where("short and not apart"), "a").join(own(named.where("apart"), "b"), other))
+    keep = [f"{c}_{s}" for s in "ab" for c in ("n", "last", "zone")]
+    rest = rest.groupBy("a", "b", "level", *keep).agg(F.count(F.lit(1)).alias("q")).where(possible(True))
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = materialize(rest.join(links, ["a", "b"], "left_anti"), "rest-pairs")
     more = verify(rest, sets) if rest.limit(1).count() else links.limit(0)
     components = connected_components(links.unionByName(more))
