@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from feedloom.llm.jaccard_join import jaccard_query
 from feedloom.llm.language import language_query
 from feedloom.llm.pii import pii_query
+from feedloom.llm.ppm import ppm_query
 from feedloom.llm.secrets import secrets_query
 from feedloom.llm.token_files import token_files_query
 
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": secrets_query,
     "op4_pii": pii_query,
     "op5_jaccard_join": jaccard_query,
+    "op7_ppm": ppm_query,
     "op10_token_files": token_files_query,
 }
 ORACLES: dict[str, str] = {}
