@@ -11,6 +11,7 @@ from feedloom.llm.language import language_query
 from feedloom.llm.pii import pii_query
 from feedloom.llm.ppm import ppm_query
 from feedloom.llm.secrets import secrets_query
+from feedloom.llm.sp_sampling import sampling_query
 from feedloom.llm.token_files import token_files_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": pii_query,
     "op5_jaccard_join": jaccard_query,
     "op7_ppm": ppm_query,
+    "op8_sp_sampling": sampling_query,
     "op10_token_files": token_files_query,
 }
 ORACLES: dict[str, str] = {}
