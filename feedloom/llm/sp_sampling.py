@@ -30,7 +30,10 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import bounds, encode_words, mix, slices, table, text_bytes, worker_cache
 
 SPACE = "▁"
-UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: No piece goes on over a space, and none holds a line break or tab: there the lattice falls apart.
+UNIT = re.compile(f"{SPACE}+[^{SPACE}\n\t]*|[^{SPACE}\n\t]+|[\n\t]")
+#: Step of the polynomial hash of a piece's characters.
+STEP = np.uint64(0x100000001B3D)
 #: Word lattices kept per worker before the cache starts anew.
 CACHE_UNITS = 300_000
 
@@ -52,10 +55,22 @@ class Lattices:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.piece[s] = i
                 self.surface[i] = s.replace(SPACE, " ").encode()
+        if any(c in s.lstrip(SPACE) for s in self.piece for c in f"{SPACE}\n\t"):
+            raise ValueError("a piece goes on over a space, line break or tab")
         first = min(self.piece.values())
-        self.weight = {s: -math.log(i - first + 2) for s, i in self.piece.items()}
         self.rare = -math.log(sp.get_piece_size())
         self.longest = max(map(len, self.piece))
+        # Pieces by hash of their characters, with a small table that sees most misses off.
+        hashes = np.zeros(len(self.piece), np.uint64)
+        for n, s in enumerate(self.piece):
+            for c in s:
+                hashes[n:n + 1] = hashes[n:n + 1] * STEP + np.uint64(ord(c) + 1)
+        order = np.argsort(hashes)
+        self.hash = hashes[order]
+        self.hash_id = np.fromiter(self.piece.values(), np.int64)[order]
+        self.hint = np.zeros(1 << 20, bool)
+        self.hint[mix(self.hash) & np.uint64((1 << 20) - 1)] = True
+        self.weight = -np.log(np.maximum(np.arange(sp.get_piece_size()) - first, 0) + 2.0)
         self.clear()
 
     def clear(self):
@@ -66,42 +81,58 @@ class Lattices:
         self.extra: list[list[int]] = []
 
     def add(self, units: list[str]) -> None:
-        edge, logq, to, ids, many, first = [], [], [], [], [], []
-        arcs, base, piece, weight = len(self.arcs["to"]), self.nodes, self.piece, self.weight
-        for unit in units:
-            n = len(unit)
-            self.start[unit] = base
-            back, rows = [0.0] * (n + 1), [None] * n
-            for i in range(n - 1, -1, -1):
-                row = [(weight[s] + back[j], j, piece[s], -1) for j in range(i + 1, min(n, i + self.longest) + 1)
-                       if (s := unit[i:j]) in piece]
-                if not row or row[0][1] != i + 1:
-                    b = unit[i].encode("utf-8", "replace")
-                    self.extra.append([self.byte[x] for x in b])
-                    row.insert(0, (self.rare * len(b) + back[i + 1], i + 1, -1, len(self.extra) - 1))
-                if len(row) == 1:
-                    back[i] = row[0][0]
-                else:
-                    top = max(r[0] for r in row)
-                    back[i] = top + math.log(sum([math.exp(r[0] - top) for r in row]))
-                rows[i] = row
-            for i in range(n):
-                first.append(arcs + len(to))
-                total, node = 0.0, base + i
-                for w, j, piece_id, more in rows[i]:
-                    total += math.exp(w - back[i])
-                    edge.append(node + total)
-                    logq.append(min(0.0, w - back[i]))
-                    to.append(base + j)
-                    ids.append(piece_id)
-                    many.append(more)
-                edge[-1] = node + 1.0
-            first.append(arcs + len(to))
-            base += n + 1
-        self.nodes = base
-        for k, v in zip(("edge", "logq", "to", "id", "bytes"), (edge, logq, to, ids, many)):
-            self.arcs[k] = np.concatenate([self.arcs[k], np.array(v, self.arcs[k].dtype)])
-        self.first = np.concatenate([self.first[:-1], np.array(first, np.int64), [len(self.arcs["to"])]])
+        """Build the lattices of new words together: arcs of each length at once, then backward sums by
+        distance from the word's end."""
+        lens = np.fromiter(map(len, units), np.int64, len(units))
+        chars = "".join(units)
+        cp = np.frombuffer(chars.encode("utf-32-le"), "<u4").astype(np.uint64)
+        ends = bounds(lens)
+        owner = np.repeat(np.arange(len(units)), lens)
+        left = ends[owner + 1] - np.arange(len(cp))  # characters to the word's end
+        h, at, length, ids = np.zeros(len(cp), np.uint64), [], [], []
+        for n in range(1, self.longest + 1):
+            on = np.flatnonzero(left >= n)
+            h[on] = h[on] * STEP + cp[on + n - 1] + np.uint64(1)
+            hit = on[self.hint[mix(h[on]) & np.uint64((1 << 20) - 1)]]
+            i = np.minimum(np.searchsorted(self.hash, h[hit]), len(self.hash) - 1)
+            ok = self.hash[i] == h[hit]
+            at.append(hit[ok])
+            length.append(np.full(int(ok.sum()), n))
+            ids.append(self.hash_id[i[ok]])
+            if n == 1:
+                odd = np.setdiff1d(np.arange(len(cp)), at[0], assume_unique=True)
+                at.append(odd)
+                length.append(np.ones(len(odd), np.int64))
+                ids.append(np.full(len(odd), -1))
+        at, length, ids = np.concatenate(at), np.concatenate(length), np.concatenate(ids)
+        many, weight = np.full(len(at), -1), self.weight[ids]
+        for n, c in zip(np.flatnonzero(ids < 0).tolist(), odd.tolist()):
+            b = chars[c].encode("utf-8", "replace")
+            many[n], weight[n] = len(self.extra), self.rare * len(b)
+            self.extra.append([self.byte[x] for x in b])
+        order = np.lexsort((-length, at))
+        at, length, ids, many, weight = at[order], length[order], ids[order], many[order], weight[order]
+        node = at + owner[at]  # a word of n characters has n + 1 nodes
+        to = node + length
+        back = np.zeros(len(cp) + len(units))
+        by_end = np.argsort(left[at], kind="stable")
+        groups = bounds(np.bincount(left[at], minlength=1))
+        for d in range(1, len(groups) - 1):
+            g = by_end[groups[d]:groups[d + 1]]
+            if len(g):
+                new = np.flatnonzero(np.diff(node[g], prepend=-1))
+                back[node[g[new]]] = np.logaddexp.reduceat(weight[g] + back[to[g]], new)
+        logq = np.minimum(weight + back[to] - back[node], 0.0)
+        firsts = np.searchsorted(node, np.arange(len(back)))
+        total = np.cumsum(np.exp(logq))
+        within = total - np.concatenate([[0.0], total])[firsts[node]]
+        last = np.append(np.diff(node) != 0, True)
+        base, arcs = self.nodes, len(self.arcs["to"])
+        new_arcs = {"edge": base + node + np.where(last, 1.0, within), "logq": logq, "to": base + to, "id": ids, "bytes": many}
+        self.arcs = {k: np.concatenate([v, new_arcs[k]]) for k, v in self.arcs.items()}
+        self.first = np.concatenate([self.first[:-1], arcs + firsts, [len(self.arcs["to"])]])
+        self.start.update(zip(units, (base + ends[:-1] + np.arange(len(units))).tolist()))
+        self.nodes = base + len(back)
 
     def starts(self, units: list[str]) -> np.ndarray:
         new = [u for u in units if u not in self.start]
@@ -123,7 +154,11 @@ class Lattices:
                 live, at = live[on], at[on]
             if not len(live):
                 break
-            a = np.minimum(np.searchsorted(edge, at + uniform(seeds[live], step), side="right"), first[at + 1] - 1)
+            aim, a = at + uniform(seeds[live], step), first[at]
+            on = np.flatnonzero(edge[a] <= aim)
+            while len(on):  # a node has few arcs, the likely ones first; its last edge is beyond any aim
+                a[on] += 1
+                on = on[edge[a[on]] <= aim[on]]
             owner.append(live)
             taken.append(a)
             at, step = to[a], step + 1
