@@ -107,7 +107,7 @@ def combinations(rows: DataFrame) -> DataFrame:
 def possible(need_count: bool):
     """Conditions that every similar pair (a, b) without a common rare token meets.
 
-    ``f`` is the side whose prefix ends first.  Its tokens that no other prefix holds are not shared, so
+    ``f`` is the side whose prefix ends first.  Its prefix tokens that are not frequent are not shared, so
     at most ``n - overlap`` of them may exist.  With ``need_count``: all its shared prefix tokens are
     frequent, at least ``overlap - (n - prefix)``; spread over ``level`` sub-classes these make at least
     so many common combinations (``q``).
@@ -116,7 +116,7 @@ def possible(need_count: bool):
     overlap = F.expr("(3 * (n_a + n_b) + 6) div 7")
     sizes = (100 * F.col("n_a") >= 75 * F.col("n_b")) & (100 * F.col("n_b") >= 75 * F.col("n_a"))
     if not need_count:
-        return sizes & (first("alone") <= first("n") - overlap)
+        return sizes & (first("zone") - first("heavy") <= first("n") - overlap)
     share = F.greatest(F.lit(0), overlap - first("n") + first("zone"))
     each, rest = F.floor(share / F.col("level")), share % F.col("level")
     return F.col("q") >= rest * each * (each + 1) / 2 + (F.col("level") - rest) * each * (each - 1) / 2
@@ -228,10 +228,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near_size = (100 * F.col("na") >= 75 * F.col("nb")) & (100 * F.col("nb") >= 75 * F.col("na"))
     shared = left.join(right, (F.col("sig") == F.col("sig_")) & (F.col("a") < F.col("b")) & near_size) \
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
-    shared = shared.join(side("a"), "a").join(side("b"), "b").where(possible(False))
+    shared = shared.join(side("a"), "a").join(side("b"), "b")
     first = lambda c: F.when(F.col("last_a") <= F.col("last_b"), F.col(c + "_a")).otherwise(F.col(c + "_b"))
     overlap = F.expr("(3 * (n_a + n_b) + 6) div 7")
-    rare_pairs = materialize(shared.where(F.col("c") >= overlap - first("n") + first("zone") - first("heavy"))
+    rare_pairs = materialize(shared.where((F.col("c") >= overlap - first("n") + first("zone") - first("heavy"))
+                                   & (first("alone") <= first("n") - overlap))
                              .select("a", "b").distinct(), "rare-pairs")
 
     # Combinations of frequent tokens, as far as a document short of rare tokens holds them.

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from feedloom.llm.ann import ann_query
+from feedloom.llm.decontaminate import decontamination_query
 from feedloom.llm.jaccard_join import jaccard_query
 from feedloom.llm.language import language_query
 from feedloom.llm.pii import pii_query
@@ -16,9 +18,11 @@ from feedloom.llm.token_files import token_files_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": language_query,
+    "op2_ann": ann_query,
     "op3_secrets": secrets_query,
     "op4_pii": pii_query,
     "op5_jaccard_join": jaccard_query,
+    "op6_decontaminate": decontamination_query,
     "op7_ppm": ppm_query,
     "op8_sp_sampling": sampling_query,
     "op10_token_files": token_files_query,

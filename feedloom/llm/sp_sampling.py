@@ -35,7 +35,7 @@ UNIT = re.compile(f"{SPACE}+[^{SPACE}\n\t]*|[^{SPACE}\n\t]+|[\n\t]")
 #: Step of the polynomial hash of a piece's characters.
 STEP = np.uint64(0x100000001B3D)
 #: Word lattices kept per worker before the cache starts anew.
-CACHE_UNITS = 300_000
+CACHE_UNITS = 100_000
 
 
 class Lattices:
