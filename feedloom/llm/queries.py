@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from feedloom.llm.ann import ann_query
 from feedloom.llm.decontaminate import decontamination_query
 from feedloom.llm.jaccard_join import jaccard_query
 from feedloom.llm.language import language_query
+from feedloom.llm.licenses import license_query
 from feedloom.llm.pii import pii_query
 from feedloom.llm.ppm import ppm_query
 from feedloom.llm.secrets import secrets_query
@@ -25,6 +27,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_decontaminate": decontamination_query,
     "op7_ppm": ppm_query,
     "op8_sp_sampling": sampling_query,
+    "op9_licenses": license_query,
     "op10_token_files": token_files_query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
