@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import materialize, table
 
 SAMPLE = 4096
-PART_ROWS = 1024
+PART_ROWS = 4096
 MAX_PARTS = 256
 BLOCK = 8192
 
@@ -57,7 +57,7 @@ def bisect(neigh: np.ndarray, nodes: np.ndarray, rng) -> tuple[np.ndarray, np.nd
     return nodes[~side], nodes[side]
 
 
-def fit(sample: np.ndarray, parts: int, k: int = 20, target: float = 0.985, seed: int = 5):
+def fit(sample: np.ndarray, parts: int, k: int = 20, target: float = 0.96, seed: int = 5):
     """Classifier weights [d + 1, parts] and the number of parts a query visits."""
     rng = np.random.default_rng(seed)
     n = len(sample)

@@ -76,7 +76,7 @@ class Index:
         near = [0] + [sum(1 << b for b in c) for r in range(1, RADIUS // BLOCKS + 1) for c in combinations(range(BITS), r)]
         near, groups = np.array(near), []
         for i in order:
-            if not groups or len(self.items[i][1]) > 1.12 * len(self.items[groups[-1][0]][1]):
+            if not groups or len(self.items[i][1]) > 1.16 * len(self.items[groups[-1][0]][1]):
                 groups.append([])
             groups[-1].append(i)
         self.classes = []
@@ -86,7 +86,7 @@ class Index:
             for b in range(BLOCKS):
                 part = (prints[g] >> np.uint64(BITS * b)).astype(np.int64) & ((1 << BITS) - 1)
                 tables[b, (part[:, None] ^ near).ravel()] = True
-            self.classes.append((size, max(1, size // 10), np.array(g), prints[g], tables))
+            self.classes.append((size, max(1, size // 8), np.array(g), prints[g], tables))
 
     def similarity(self, item: int, window: Counter) -> float:
         own, both, all_ = self.shingles[item], 0.0, 0.0
