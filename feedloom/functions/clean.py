@@ -26,7 +26,8 @@ NUMBER_WORDS = ["nan", "inf", "+inf", "-inf", "infinity", "+infinity", "-infinit
 # 8-digit keys would otherwise all be tried as yyyyMMdd dates.
 _MM, _DD = "(0[1-9]|1[0-2])", "(0[1-9]|[12][0-9]|3[01])"
 DATE_FORMATS = [("yyyy-MM-dd", rf"^[0-9]{{4}}-{_MM}-{_DD}$"), ("yyyyMMdd", rf"^[0-9]{{4}}{_MM}{_DD}$"),
-                ("MM/dd/yyyy", rf"^{_MM}/{_DD}/[0-9]{{4}}$")]
+                ("MM/dd/yyyy", rf"^{_MM}/{_DD}/[0-9]{{4}}$"),
+                ("yyyy-MM-dd HH:mm:ss", rf"^[0-9]{{4}}-{_MM}-{_DD} ([01][0-9]|2[0-3])(:[0-5][0-9]){{2}}$")]
 
 
 def strip_ws(c) -> Column:

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.session import ensure_checkpoint_dir
+
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
@@ -35,12 +37,18 @@ def group_positions(df: DataFrame, group: list[str], order: list, name: str = "p
     d = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
          .withColumn("__pid", F.spark_partition_id())
          .withColumn("__mid", F.monotonically_increasing_id()))
+    # Both branches below must see the same partitions: pruned differently they would be sampled and
+    # cut at different bounds, so the tagged frame is written once to the shared checkpoint folder.
+    ensure_checkpoint_dir(spark)
+    d = d.checkpoint(eager=True)
     gk = ["__pid"] + list(group)
     summary = d.groupBy(*gk).agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__m0"))
     w = (Window.partitionBy(*group) if group else Window.partitionBy()).orderBy("__pid") \
         .rowsBetween(Window.unboundedPreceding, -1)
     summary = summary.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    out = d.join(summary.select(*gk, "__off", "__m0"), gk, "inner")
+    side = summary.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(gk)], "__off", "__m0")
+    same = [F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(gk)]
+    out = d.join(side, same, "inner").drop(*[f"__g{i}" for i in range(len(gk))])
     return out.withColumn(name, F.col("__off") + F.col("__mid") - F.col("__m0") + F.lit(base)) \
         .drop("__pid", "__mid", "__off", "__m0")
 

@@ -25,9 +25,14 @@ def _ts(now) -> Column:
 # --------------------------------------------------------------------------- K1/K2/K13/J5
 def insert_ignore(existing_keys: DataFrame, incoming: DataFrame, key: list[str],
                   order: list, tiebreak: list[str] | None = None) -> DataFrame:
-    """K2 (+W6, J5): rows to append: first per key inside the batch, minus keys already stored."""
-    first = keep_first(incoming, key, order, tiebreak=tiebreak)
-    return first.join(existing_keys.select(*key), key, "left_anti")
+    """K2 (+W6, J5): rows to append: first per key inside the batch, minus keys already stored.
+
+    NULL key parts are equal to each other, stored or incoming; stored keys are taken out first, so
+    only new rows are ranked.
+    """
+    stored = existing_keys.select(*[F.col(c).alias(f"__k_{c}") for c in key]).distinct()
+    new = incoming.join(stored, [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in key], "left_anti")
+    return keep_first(new, key, order, tiebreak=tiebreak)
 
 
 def seed_keep(existing: DataFrame, seed: DataFrame, key: list[str]) -> DataFrame:

@@ -59,3 +59,10 @@ def test_clean_by_name_dispatch(spark):
     r = df.select(*[C.clean_by_name(c).alias(c) for c in df.columns]).first()
     assert r.cancel_pend_in is True and str(r.filing_dt) == "1955-01-04" and r.serial_no == 12
     assert r.note == "text" and r.other is None
+
+
+def test_dates_with_a_time_part(spark):
+    from feedloom.functions import clean
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("2020-01-02 03:04:05",), ("2020-01-02 99:00:00",)], "s string")
+    assert [str(r[0]) for r in df.select(clean.try_date(F.col("s"))).collect()] == ["2020-01-02", "None"]

@@ -1,4 +1,5 @@
 """Positions and first-N per group against brute force, with one group holding a third of the rows."""
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from feedloom.operators import positions as P
@@ -45,3 +46,17 @@ def test_first_by_aggregate(spark):
     for g in {r[0] for r in rows}:
         expect[g] = min((r for r in rows if r[0] == g), key=lambda r: (r[1], r[2]))[2]
     assert got == expect
+
+
+def test_group_positions_with_payload_written_and_compared(spark, tmpdir_path):
+    """Many rows, payload columns, a hot and a NULL group; the result is written, then compared."""
+    src = spark.range(0, 400_000, numPartitions=8).selectExpr(
+        "case when id % 3 = 0 then 'hot' when id % 50 = 1 then null else concat('g', id % 50) end g",
+        "(id * 7919) % 1000003 k", "id", "repeat('x', 20) payload", "id * 2 amount")
+    src.write.parquet(tmpdir_path + "/src")
+    df = spark.read.parquet(tmpdir_path + "/src")
+    P.group_positions(df, ["g"], ["k", "id"]).write.parquet(tmpdir_path + "/out")
+    w = Window.partitionBy("g").orderBy("k", "id")
+    want = df.withColumn("want", F.row_number().over(w) - 1).select("id", "want")
+    got = spark.read.parquet(tmpdir_path + "/out").join(want, "id")
+    assert got.count() == 400_000 and got.where("pos <> want").count() == 0

@@ -104,3 +104,11 @@ def test_versioned_table_upsert(spark, tmpdir_path):
     assert reader.count() == 2  # version 1 is untouched
     TB.upsert_table(spark, root, new, ["product_id"], ["title"], ["table_name"], NOW)
     assert len(TB.vacuum(spark, root, keep=2)) == 1 and TB.current_version(spark, root) == 3
+
+
+def test_insert_ignore_null_key_parts_are_equal(spark):
+    from feedloom.operators import sinks
+    rows = spark.createDataFrame([("a", None, 1), ("a", None, 2), ("b", "r", 3)], "k string, r string, pos int")
+    stored = sinks.insert_ignore(rows.limit(0), rows, ["k", "r"], ["pos"])
+    assert sorted(r.pos for r in stored.collect()) == [1, 3]
+    assert sinks.insert_ignore(stored, rows, ["k", "r"], ["pos"]).count() == 0
