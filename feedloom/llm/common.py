@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 from collections import defaultdict
 from itertools import chain
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,5 +86,14 @@ def worker_cache(name: str) -> dict:
     return mod.__dict__.setdefault(name, {})
 
 
+def share(spark: SparkSession, model):
+    """Broadcast an object of this package's classes by value, so executors need no install."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def shared_value(shared):
+    return pickle.loads(shared.value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bounds, encode_words, mix, slices, table, text_bytes
+from feedloom.llm.common import bounds, encode_words, mix, share, shared_value, slices, table, text_bytes
 from feedloom.llm.shingles import type_hashes
 
 RADIUS, BLOCKS, BITS = 15, 4, 16
@@ -146,11 +146,11 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
     out, blocks = None, -(-src.count() // item_block)
     for n in range(max(1, blocks)):
         chosen = src.where(F.pmod(F.xxhash64("i", "t"), F.lit(max(1, blocks))) == n).collect()  # about item_block rows
-        shared = spark.sparkContext.broadcast(Index([(r.i, bytes(r.t)) for r in chosen]))
+        shared = share(spark, Index([(r.i, bytes(r.t)) for r in chosen]))
 
         def run(batches, shared=shared):
             import pandas as pd
-            index = shared.value
+            index = shared_value(shared)
             for pdf in batches:
                 texts, ids, found = pdf["t"].tolist(), pdf["id"].to_numpy(), []
                 for i, j in slices(texts, 1 << 20):

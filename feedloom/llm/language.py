@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bounds, encode_words, held_out, mix, segment_sums, slices, table, text_bytes
+from feedloom.llm.common import bounds, encode_words, held_out, mix, segment_sums, share, shared_value, slices, table, text_bytes
 
 BUCKETS = 1 << 15
 STRETCH = 24
@@ -255,12 +255,12 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     """Per row: id, lang_pred, score (mean posterior of that language), n_words, switches (language
     changes between neighbouring labelled words)."""
     spark = df.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = share(spark, model)
     kind = dict(df.dtypes)[id_col]
 
     def run(batches):
         import pandas as pd
-        model = shared.value
+        model = shared_value(shared)
         names = np.array([*model.langs, "und"], object)
         for pdf in batches:
             texts = pdf["t"].tolist()
@@ -288,12 +288,12 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def label_words(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every white-space word of every text with its language and posterior: id, i, word, lang, p."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = share(df.sparkSession, model)
     kind = dict(df.dtypes)[id_col]
 
     def run(batches):
         import pandas as pd
-        model = shared.value
+        model = shared_value(shared)
         names = np.array([*model.langs, "und"], object)
         for pdf in batches:
             texts = pdf["t"].tolist()

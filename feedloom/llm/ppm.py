@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bounds, encode_words, held_out, materialize, segment_sums, slices, table, text_bytes
+from feedloom.llm.common import bounds, encode_words, held_out, materialize, segment_sums, share, shared_value, slices, table, text_bytes
 from feedloom.llm.shingles import type_hashes
 
 PAD, END = b"\xff\xff\xff", b"\xff"
@@ -180,7 +180,7 @@ def score(df: DataFrame, held: str, id_col: str = "doc_id", text_col: str = "tex
         F.sum(F.when(F.col("kind") == BYTES, F.col("n"))), F.sum(F.when(F.col("kind") == WORD, F.col("n"))),
         F.count(F.when(F.col("kind") == WORD, 1))).first()
     total, blocks = total or 0, (size or 0) // block_bytes + 1
-    shared = spark.sparkContext.broadcast(Scorer(fit(counts, max_contexts)))
+    shared = share(spark, Scorer(fit(counts, max_contexts)))
     docs = docs.withColumn("block", F.pmod(F.xxhash64("id", "t"), F.lit(blocks)).cast("int"))
 
     def vocabulary(pdf):
@@ -196,7 +196,7 @@ def score(df: DataFrame, held: str, id_col: str = "doc_id", text_col: str = "tex
     def run(docs, known):
         import pandas as pd
         texts = docs["t"].tolist()
-        scorer = shared.value
+        scorer = shared_value(shared)
         rows = scorer.rows()
         key = known["key"].to_numpy(np.int64)
         order = np.argsort(key)
