@@ -15,12 +15,12 @@ tokens, a document at Jaccard 0.75 or more to it misses at most ``e = n // 4`` o
    are shared.  Two of these lie in one of ``G`` sub-classes (hash modulo ``G``), so 2-combinations within
    sub-classes are indexed; ``G`` follows the size (power of two), and every class indexes its own level
    and the one below, as partners lie at most a level apart.
-5. A combination's classes are first compared with one of them.  Where that leaves a combination with
+5. A combination's classes are first compared with one of them, picked by one of ``HUBS`` orders.  Where that leaves a combination with
    several components, all of its classes outside the largest component are compared with those of
    other components.  Every pair is verified exactly on the whole sets; links give connected components.
 
-No pair of the same component is needed twice, so groups of thousands of near copies cost one
-comparison a document, and the exact ``r`` of both sides rules pairs out that share a common passage
+No pair of the same component is needed twice, so groups of thousands of near copies cost a few
+comparisons a document, and the exact ``r`` of both sides rules pairs out that share a common passage
 without being similar.  Each hub's comparisons are dealt over ``salt`` parts, so no group meets in one
 task whole.  Shingles are compared by 48 bits of their hashes.
 
@@ -44,6 +44,8 @@ ID_BUCKETS = 1 << 20
 #: Buckets of the filter on tokens that spares most tokens a shuffle; also a fixed size (8 MB).
 TOKEN_BUCKETS = 1 << 26
 HUB_PART = 512
+#: Hubs that a group sharing its combinations has, each the first in another order.
+HUBS = 3
 
 
 def level_groups(n: int) -> int:
@@ -320,11 +322,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tokens = exploded(zones.join(poor.select("id"), "id", "left_semi")).join(heavy, "sig", "left_semi")
     tokens = materialize(tokens.groupBy("id").agg(F.collect_list("sig").alias("tokens")).join(poor, "id"), "poor")
     combos = combinations(tokens)
-    live = combos.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("hub")).where("c > 1")
-    star = combos.join(live.select("sig", "hub"), "sig").where("id <> hub").groupBy(
-        F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("r").alias("r_b")).agg(F.count(F.lit(1)).alias("q"))
+    order = F.xxhash64("id", F.pmod("sig", F.lit(HUBS)))
+    live = combos.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min_by("id", order).alias("hub")).where("c > 1")
+    star = combos.join(live.select("sig", "hub"), "sig").where("id <> hub").select(
+        F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("r").alias("r_b")).distinct()
     hubs = poor.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("r").alias("r_a"))
-    star = star.join(hubs, "a").where(possible(False) & possible(True)).select("a", "b")
+    star = star.join(hubs, "a").where(possible(False)).select("a", "b")
     first_pairs = materialize(rare_pairs.unionByName(star).distinct(), "first-pairs")
 
     ids = first_pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(poor.select("id")).distinct()
