@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 import re
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -70,16 +71,34 @@ class Lattices:
         self.hash_id = np.fromiter(self.piece.values(), np.int64)[order]
         self.hint = np.zeros(1 << 20, bool)
         self.hint[mix(self.hash) & np.uint64((1 << 20) - 1)] = True
+        # Likewise the hashes that some piece begins with: no place is followed beyond them.
+        self.begins = np.zeros(1 << 22, bool)
+        h, pieces = np.zeros(len(self.piece), np.uint64), list(self.piece)
+        for n in range(self.longest):
+            on = [i for i, s in enumerate(pieces) if len(s) > n]
+            h[on] = h[on] * STEP + np.array([ord(pieces[i][n]) + 1 for i in on], np.uint64)
+            self.begins[mix(h[on]) & np.uint64((1 << 22) - 1)] = True
         self.weight = -np.log(np.maximum(np.arange(sp.get_piece_size()) - first, 0) + 2.0)
         self.clear()
 
     def clear(self):
         self.start: dict[str, int] = {}
         self.nodes = 0
-        self.arcs = {k: np.zeros(0, t) for k, t in (("edge", float), ("logq", float), ("to", np.int64), ("id", np.int64), ("bytes", np.int64))}
+        self.room = {k: np.zeros(0, t) for k, t in (("edge", float), ("logq", float), ("to", np.int64), ("id", np.int32), ("bytes", np.int32), ("first", np.int64))}
+        self.arcs = {k: self.room[k] for k in ("edge", "logq", "to", "id", "bytes")}
         self.first = np.zeros(1, np.int64)
         self.extra: list[list[int]] = []
 
+    def grown(self, name: str, old: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """``old`` with ``new`` behind it, in a buffer that grows by half when it is full."""
+        n = len(old) + len(new)
+        if n > len(self.room[name]):
+            room = np.empty(n + n // 2, self.room[name].dtype)
+            room[:len(old)] = old
+            self.room[name] = room
+        self.room[name][len(old):n] = new
+        return self.room[name][:n]
+
     def add(self, units: list[str]) -> None:
         """Build the lattices of new words together: arcs of each length at once, then backward sums by
         distance from the word's end."""
@@ -89,13 +108,14 @@ class Lattices:
         ends = bounds(lens)
         owner = np.repeat(np.arange(len(units)), lens)
         left = ends[owner + 1] - np.arange(len(cp))  # characters to the word's end
-        h, at, length, ids = np.zeros(len(cp), np.uint64), [], [], []
+        h, on, at, length, ids = np.zeros(len(cp), np.uint64), np.arange(len(cp)), [], [], []
         for n in range(1, self.longest + 1):
-            on = np.flatnonzero(left >= n)
-            h[on] = h[on] * STEP + cp[on + n - 1] + np.uint64(1)
-            hit = on[self.hint[mix(h[on]) & np.uint64((1 << 20) - 1)]]
-            i = np.minimum(np.searchsorted(self.hash, h[hit]), len(self.hash) - 1)
-            ok = self.hash[i] == h[hit]
+            h = h * STEP + cp[on + n - 1] + np.uint64(1)
+            m = mix(h)
+            maybe = self.hint[m & np.uint64((1 << 20) - 1)]
+            hit, seen = on[maybe], h[maybe]
+            i = np.minimum(np.searchsorted(self.hash, seen), len(self.hash) - 1)
+            ok = self.hash[i] == seen
             at.append(hit[ok])
             length.append(np.full(int(ok.sum()), n))
             ids.append(self.hash_id[i[ok]])
@@ -104,33 +124,36 @@ class Lattices:
                 at.append(odd)
                 length.append(np.ones(len(odd), np.int64))
                 ids.append(np.full(len(odd), -1))
+            go = self.begins[m & np.uint64((1 << 22) - 1)] & (left[on] > n)
+            on, h = on[go], h[go]
         at, length, ids = np.concatenate(at), np.concatenate(length), np.concatenate(ids)
         many, weight = np.full(len(at), -1), self.weight[ids]
         for n, c in zip(np.flatnonzero(ids < 0).tolist(), odd.tolist()):
             b = chars[c].encode("utf-8", "replace")
             many[n], weight[n] = len(self.extra), self.rare * len(b)
             self.extra.append([self.byte[x] for x in b])
-        order = np.lexsort((-length, at))
+        order = np.argsort(at * (self.longest + 1) + (self.longest - length))  # longer arcs of a node first
         at, length, ids, many, weight = at[order], length[order], ids[order], many[order], weight[order]
         node = at + owner[at]  # a word of n characters has n + 1 nodes
         to = node + length
         back = np.zeros(len(cp) + len(units))
-        by_end = np.argsort(left[at], kind="stable")
-        groups = bounds(np.bincount(left[at], minlength=1))
+        far = left[at]
+        by_end = np.argsort(far.astype(np.uint16) if far.max() < 1 << 16 else far, kind="stable")  # 16 bits sort by radix
+        groups = bounds(np.bincount(far, minlength=1))
         for d in range(1, len(groups) - 1):
             g = by_end[groups[d]:groups[d + 1]]
             if len(g):
                 new = np.flatnonzero(np.diff(node[g], prepend=-1))
                 back[node[g[new]]] = np.logaddexp.reduceat(weight[g] + back[to[g]], new)
         logq = np.minimum(weight + back[to] - back[node], 0.0)
-        firsts = np.searchsorted(node, np.arange(len(back)))
+        firsts = bounds(np.bincount(node, minlength=len(back)))[:-1]
         total = np.cumsum(np.exp(logq))
         within = total - np.concatenate([[0.0], total])[firsts[node]]
         last = np.append(np.diff(node) != 0, True)
         base, arcs = self.nodes, len(self.arcs["to"])
         new_arcs = {"edge": base + node + np.where(last, 1.0, within), "logq": logq, "to": base + to, "id": ids, "bytes": many}
-        self.arcs = {k: np.concatenate([v, new_arcs[k]]) for k, v in self.arcs.items()}
-        self.first = np.concatenate([self.first[:-1], arcs + firsts, [len(self.arcs["to"])]])
+        self.arcs = {k: self.grown(k, v, new_arcs[k]) for k, v in self.arcs.items()}
+        self.first = self.grown("first", self.first[:-1], np.append(arcs + firsts, len(self.arcs["to"])))
         self.start.update(zip(units, (base + ends[:-1] + np.arange(len(units))).tolist()))
         self.nodes = base + len(back)
 
@@ -167,12 +190,17 @@ class Lattices:
         owner, taken = np.concatenate(owner), np.concatenate(taken)
         return taken[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(nodes))
 
-    def ids(self, path: np.ndarray) -> list[int]:
+    def ids(self, path: np.ndarray) -> np.ndarray:
         ids = self.arcs["id"][path]
-        if (ids >= 0).all():
-            return ids.tolist()
-        more = self.arcs["bytes"][path].tolist()
-        return [x for i, m in zip(ids.tolist(), more) for x in ([i] if m < 0 else self.extra[m])]
+        odd = np.flatnonzero(ids < 0)
+        if not len(odd):
+            return ids
+        more = [self.extra[m] for m in self.arcs["bytes"][path[odd]].tolist()]
+        times = np.ones(len(ids), np.int64)
+        times[odd] = list(map(len, more))
+        out = np.repeat(ids, times)
+        out[out < 0] = list(chain.from_iterable(more))
+        return out
 
     def decode(self, ids: list[int]) -> bytes:
         """The text behind piece ids: surfaces joined, without the space put in front."""
@@ -230,7 +258,7 @@ def top_k(lat: Lattices, starts: np.ndarray, lens: np.ndarray, keys: np.ndarray,
         a = arcs[cut[d]:cut[d + 1]]
         found.append([Path(a, logq[a], float(root[d]), 0, gum[d])])
     for r in range(1, k):
-        todo = []
+        todo, aim, less = [], uniform(seeds(10 + r), 0), uniform(seeds(20 + r), 0)
         for d, paths in enumerate(found):
             if len(paths) < r:
                 continue
@@ -245,12 +273,11 @@ def top_k(lat: Lattices, starts: np.ndarray, lens: np.ndarray, keys: np.ndarray,
             out = old.out.setdefault(i, {node_arc})
             choice = [x for x in range(lo, hi) if x not in out]
             w = np.exp(logq[choice])
-            u = uniform(mix_one(keys[d], 10 + r), 0)[0]
-            arc = choice[min(int(np.searchsorted(np.cumsum(w), u * w.sum(), side="right")), len(choice) - 1)]
+            arc = choice[min(int(np.searchsorted(np.cumsum(w), aim[d] * w.sum(), side="right")), len(choice) - 1)]
             out.add(arc)
             left = [x for x in choice if x != arc]
             mass = old.before[i] + math.log(np.exp(logq[left]).sum()) if left else -np.inf
-            old.rest[i] = truncated(np.array([mass]), value, uniform(mix_one(keys[d], 20 + r), 0))[0]
+            old.rest[i] = truncated(np.array([mass]), value, less[d:d + 1])[0]
             # Word of arc i: words before it end where a target node has no arcs.
             done = int((first[to[old.arcs[:i]] + 1] == first[to[old.arcs[:i]]]).sum())
             nodes = np.concatenate([[to[arc]], starts[ends[d] + done + 1:ends[d + 1]]])
@@ -293,8 +320,8 @@ def sample(df: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", t
                         with np.errstate(divide="ignore", over="ignore"):
                             inc = 0.0 if kappa == -np.inf else p.logp - kappa if p.logp - kappa < -30 else float(
                                 np.log(-np.expm1(-np.exp(p.logp - kappa))))
-                        rows.append((ids[i + d], n + 1, np.array(pieces, "<i4").tobytes(), len(pieces), p.logp, p.value, inc,
-                                     lat.decode(pieces) == texts[i + d]))
+                        rows.append((ids[i + d], n + 1, pieces.astype("<i4").tobytes(), len(pieces), p.logp, p.value, inc,
+                                     lat.decode(pieces.tolist()) == texts[i + d]))
                 yield pd.DataFrame(rows, columns=["id", "draw", "ids", "n_pieces", "logp", "perturbed", "log_inclusion", "round_trip"])
 
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("key"), text_bytes(text_col).alias("t"))
