@@ -15,7 +15,8 @@ tokens, a document at Jaccard 0.75 or more to it misses at most ``e = n // 4`` o
    are shared.  Two of these lie in one of ``G`` sub-classes (hash modulo ``G``), so 2-combinations within
    sub-classes are indexed; ``G`` follows the size (power of two), and every class indexes its own level
    and the one below, as partners lie at most a level apart.
-5. A combination's classes are first compared with one of them, picked by one of ``HUBS`` orders.  Where that leaves a combination with
+5. A combination's classes are first compared with one of them, the one with the smallest share of
+   rare tokens (the least edited of near copies; ties go by one of ``HUBS`` orders).  Where that leaves a combination with
    several components, all of its classes outside the largest component are compared with those of
    other components.  Every pair is verified exactly on the whole sets; links give connected components.
 
@@ -322,7 +323,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tokens = exploded(zones.join(poor.select("id"), "id", "left_semi")).join(heavy, "sig", "left_semi")
     tokens = materialize(tokens.groupBy("id").agg(F.collect_list("sig").alias("tokens")).join(poor, "id"), "poor")
     combos = combinations(tokens)
-    order = F.xxhash64("id", F.pmod("sig", F.lit(HUBS)))
+    order = F.struct(F.col("r") / F.col("n"), F.xxhash64("id", F.pmod("sig", F.lit(HUBS))))
     live = combos.groupBy("sig").agg(F.count(F.lit(1)).alias("c"), F.min_by("id", order).alias("hub")).where("c > 1")
     star = combos.join(live.select("sig", "hub"), "sig").where("id <> hub").select(
         F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("r").alias("r_b")).distinct()
