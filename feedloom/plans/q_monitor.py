@@ -120,19 +120,19 @@ def recent_activity(spark, d):
 
 @query("table_lookup", "J3 F10", with_ctes(["products"], """
 SELECT o.o_orderkey, p.product_id, p.table_name
-FROM orders o JOIN products p ON 'P' || CAST(o.o_custkey AS VARCHAR) = p.product_id
-WHERE o.o_orderpriority = '1-URGENT'"""))
+FROM orders o JOIN products p ON 'P' || CAST(o.o_custkey AS VARCHAR) = p.product_id"""))
 def table_lookup(spark, d):
-    o = SI.table(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    o = SI.table(spark, d, "orders")
     ids = o.select("o_orderkey", F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("product_id"))
     return M.table_of_product(SI.products(spark, d), ids).select("o_orderkey", "product_id", "table_name")
 
 
 @query("history_newest", "T7 T6", with_ctes(["history"], """
-SELECT product_id, file_name, download_date, status FROM history
-ORDER BY download_date DESC, file_name LIMIT 10"""))
+SELECT product_id, file_name, download_date, status,
+       row_number() OVER (ORDER BY download_date DESC NULLS LAST, file_name, product_id) AS place FROM history"""))
 def history_newest(spark, d):
-    return M.newest_first(SI.history(spark, d), 10).select("product_id", "file_name", "download_date", "status")
+    h = SI.history(spark, d).select("product_id", "file_name", "download_date", "status")
+    return P.global_positions(h, [F.desc_nulls_last("download_date"), "file_name", "product_id"], "place", base=1)
 
 
 @query("page_offset", "T1", """

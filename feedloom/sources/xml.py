@@ -16,6 +16,7 @@ NULL so callers can split good rows from rejects.
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,28 +32,37 @@ def close_tag(tag: str, prefix: str | None = None) -> str:
     return f"</{prefix}:{tag}>" if prefix else f"</{tag}>"
 
 
-def detect_prefix(spark: SparkSession, paths, tag: str, head: int = 2000) -> str | None:
-    """Namespace prefix used for ``tag`` (e.g. 'ns' for ``<ns:tag>``), from a bounded head sample.
+def record_tags(spark: SparkSession, paths, tags: list[str], glob: str | None = None) -> DataFrame:
+    """(file_path, prefix, tag) of every listed tag that opens an element; prefix is '' without a namespace.
 
-    The split scan needs the literal close tag, prefix included.  Only the first ``head``
-    lines reach the driver.
+    The text is cut at '>', so files split and no row is longer than a tag and the text before it.
     """
-    pat = re.compile(r"<([A-Za-z_][\w.-]*):" + re.escape(tag) + r"[\s>/]")
-    for row in spark.read.text(paths).limit(head).collect():
-        m = pat.search(row["value"])
-        if m:
-            return m.group(1)
-    return None
+    reader = spark.read.option("lineSep", ">")
+    if glob:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    pat = r"<(?:([A-Za-z_][\w.-]*):)?(" + "|".join(re.escape(t) for t in tags) + r")(?:\s[^<]*)?/?$"
+    found = reader.text(paths).select(F.col("_metadata.file_path").alias("file_path"), "value").filter(F.col("value").rlike(pat))
+    return found.select("file_path", F.regexp_extract("value", pat, 1).alias("prefix"),
+                        F.regexp_extract("value", pat, 2).alias("tag")).distinct()
+
+
+def detect_prefix(spark: SparkSession, paths, tag: str, glob: str | None = None) -> str | None:
+    """Namespace prefix used for ``tag`` (e.g. 'ns' for ``<ns:tag>``) anywhere in the files, or None.
+
+    The split scan needs the literal close tag, prefix included.
+    """
+    first = record_tags(spark, paths, [tag], glob).agg(F.min(F.when(F.col("prefix") != "", F.col("prefix")))).first()
+    return first[0]
 
 
 def record_texts(spark: SparkSession, paths, tag: str, prefix: str | None = None,
                  glob: str | None = None) -> DataFrame:
     """One row per record: (file_path, block_start, record) -- the raw XML of each ``tag`` element.
 
-    ``prefix="auto"`` detects a namespace prefix from the head of the files.
+    ``prefix="auto"`` looks for a namespace prefix in the files.
     """
     if prefix == "auto":
-        prefix = detect_prefix(spark, paths, tag)
+        prefix = detect_prefix(spark, paths, tag, glob)
     end = close_tag(tag, prefix)
     reader = spark.read
     if glob:
@@ -102,12 +112,23 @@ def read_xml_whole(spark: SparkSession, paths, tag: str, schema: T.StructType) -
 
 def read_family(spark: SparkSession, paths, family: str, schema: T.StructType,
                 prefix: str | None = None, glob: str | None = None) -> DataFrame:
-    """Every record tag of a family, one split scan per tag, unioned."""
-    frames = [read_xml(spark, paths, t, schema, prefix, glob).withColumn("record_tag", F.lit(t))
-              for t in S.RECORD_TAGS[family]]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
+    """Every record tag of a family, unioned: one split scan per (tag, prefix) over the files that hold it.
+
+    A file without a tag is not scanned for it (the scan would return it as one row).  Only
+    file names reach the driver.  With ``prefix`` given, only records with that prefix are read.
+    """
+    held: dict[tuple, list[str]] = {}
+    for r in record_tags(spark, paths, S.RECORD_TAGS[family], glob).orderBy("tag", "prefix", "file_path").collect():
+        held.setdefault((r.tag, r.prefix or None), []).append(unquote(r.file_path))
+    out = None
+    for (t, p), files in held.items():
+        if prefix not in (None, "auto", p):
+            continue
+        f = read_xml(spark, files, t, schema, p).withColumn("record_tag", F.lit(t))
+        out = f if out is None else out.unionByName(f)
+    if out is None:
+        empty = spark.createDataFrame([], "file_path string, block_start long, record string")
+        out = parse_records(empty, schema).withColumn("record_tag", F.lit(None).cast("string"))
     return out
 
 
@@ -116,21 +137,16 @@ def flat_schema(tags: list[str]) -> T.StructType:
     return T.StructType([T.StructField(t, T.StringType()) for t in tags])
 
 
-def generic_records(spark: SparkSession, paths, tag: str, sample: int = 1000,
-                    prefix: str | None = None) -> DataFrame:
-    """Flat record scan with the schema inferred from a bounded sample of records.
+def generic_records(spark: SparkSession, paths, tag: str, prefix: str | None = None) -> DataFrame:
+    """Flat record scan; the fields are the distinct leaf names of all records, in name order.
 
     Leaf children become text columns named by the local tag ('-' -> '_', lower case).
     """
     recs = record_texts(spark, paths, tag, prefix)
-    # The field list comes from a bounded sample of records (at most ``sample`` rows reach the driver).
-    sample_rows = [r["record"] for r in recs.select("record").limit(sample).collect()]
-    fields: dict[str, None] = {}
-    for text in sample_rows:
-        for m in re.finditer(r"<(?:[\w.-]+:)?([\w.-]+)(?:\s[^>]*)?>([^<]*)</", text):
-            if m.group(1) != tag:
-                fields.setdefault(m.group(1), None)
-    schema = flat_schema(list(fields))
+    leaf = F.lit(r"<(?:[\w.-]+:)?([\w.-]+)(?:\s[^>]*)?>[^<]*</")
+    names = recs.select(F.explode(F.array_distinct(F.regexp_extract_all("record", leaf, 1))).alias("name")).distinct()
+    fields = [r["name"] for r in names.filter(F.col("name") != tag).orderBy("name").collect()]
+    schema = flat_schema(fields)
     parsed = parse_records(recs, schema)
     cols = [F.nullif(F.trim(F.col("rec").getField(t)), F.lit("")).alias(t.replace("-", "_").lower())
             for t in fields]

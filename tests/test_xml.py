@@ -92,3 +92,22 @@ def test_prefix_auto_detection(spark, tmpdir_path):
     assert XS.detect_prefix(spark, p, "assignment-entry") == "ns"
     parsed = XS.read_xml(spark, p, "assignment-entry", X.ASSIGNMENT_SCHEMA, prefix="auto")
     assert parsed.count() == 3
+
+
+def test_family_scan_of_plain_prefixed_and_foreign_files(spark, tmpdir_path):
+    """A late prefix, a plain file, a file without the tag and a name with a space."""
+    late = "<x>\n" + "<!-- line -->\n" * 2500 + ASSIGN.split("\n", 1)[1] + "</x>"
+    _write(tmpdir_path, "late one.xml", late)
+    _write(tmpdir_path, "plain.xml", ASSIGN.replace("ns:", ""))
+    _write(tmpdir_path, "other.xml", "<r>" + "<row>1</row>" * 1000 + "</r>")
+    got = XS.read_family(spark, tmpdir_path, "assignment", X.ASSIGNMENT_SCHEMA, glob="*.xml")
+    per = {r.name: r.n for r in got.groupBy(F.regexp_extract("file_path", r"([^/]+)$", 1).alias("name")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sorted(per.values()) == [3, 3] and "other.xml" not in per
+    none = XS.read_family(spark, os.path.join(tmpdir_path, "other.xml"), "assignment", X.ASSIGNMENT_SCHEMA)
+    assert none.count() == 0 and none.columns == got.columns
+
+
+def test_generic_fields_of_all_records(spark, tmpdir_path):
+    recs = "".join(f"<rec><a>{i}</a></rec>\n" for i in range(1500)) + "<rec><a>x</a><late-field>9</late-field></rec>"
+    p = _write(tmpdir_path, "g.xml", f"<r>{recs}</r>")
+    assert XS.generic_records(spark, p, "rec").filter("late_field = '9'").count() == 1
