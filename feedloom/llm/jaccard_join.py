@@ -353,8 +353,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rest = own(named.where("place <> main"), "a").join(
         own(named, "b"), (F.col("sig_a") == F.col("sig_b")) & (F.col("component_a") != F.col("component_b"))
         & ((F.col("place_b") == F.col("main_b")) | (F.col("id_a") < F.col("id_b"))) & possible(False))
+    # A combination gives a pair in the order of its own main component: one order for all before they are counted.
+    turned = F.col("id_a") > F.col("id_b")
+    rest = rest.select(*[F.when(turned, F.col(f"{c}_{t}")).otherwise(F.col(f"{c}_{s}")).alias(f"{c}_{s}")
+                         for c in ("id", "n", "r") for s, t in ("ab", "ba")])
     rest = rest.groupBy("id_a", "id_b", "n_a", "n_b", "r_a", "r_b").agg(F.count(F.lit(1)).alias("q")).where(possible(True))
-    rest = rest.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    rest = rest.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     rest = materialize(rest.join(first_pairs, ["a", "b"], "left_anti"), "rest-pairs")
     components = label
     if rest.limit(1).count():
