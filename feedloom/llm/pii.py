@@ -3,12 +3,14 @@
 The base detectors run on the text itself.  Then a chain of transducers rewrites the text and carries,
 for every character it emits, the source range it stands for: look-alike and wide characters become
 ASCII, invisible ones go, spelled digits become digits, at and dot disguises become signs.  The same
-detectors run on the result; their spans are mapped back through the ranges and added where no base
-span of that kind lies.  A text without any disguise passes the chain unread.
+detectors run on the result; their spans are mapped back through the ranges and added unless a base span
+of that kind covers them: one that only reaches further (the base found the tail of an address) is added
+beside the base span.  A text without any disguise passes the chain unread.
 
-Spelled digits are rewritten only in runs of nine or more digits with at least seven spelled; such a run
-of 9 to 15 digits is a phone number even without a plus.  A bare "at" counts only with bare or bracketed
-"dot" after it, so prose stays as it is.
+Spelled digits, alone or mixed with written groups and with "dot", are rewritten one by one: gaps between
+single digits go, those beside longer groups stay as written, and the detectors decide what the run is.  Nine
+or more single digits with seven or more spelled count as a phone number even without a plus.  A bare "at"
+counts only with bare or bracketed "dot" after it, so prose stays as it is.
 
 Defined results: NULL or empty text has no spans; rows that repeat an id are scanned on their own; an
 empty table gives an empty result; other columns are ignored.  Every scan is linear in the text.
@@ -61,9 +63,12 @@ def fold_map() -> dict[int, str]:
 FOLD = fold_map()
 STRANGE = re.compile("[" + "".join(map(re.escape, map(chr, FOLD))) + INVISIBLE + "]")
 HIDDEN = re.compile(f"[{INVISIBLE}]")
-_DIGIT = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine|[0-9])"
-SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\s-]+)?{_DIGIT}(?:[\s,.-]{{1,2}}{_DIGIT}){{8,}}(?![A-Za-z0-9])", re.I)
-SPELLED_HINT = re.compile(rf"(?:{'|'.join(DIGIT_WORDS)})[\s,.-]{{1,2}}{_DIGIT}[\s,.-]{{1,2}}{_DIGIT}[\s,.-]", re.I)
+_WORD = rf"(?:{'|'.join(DIGIT_WORDS)}|oh)(?![A-Za-z0-9])"
+_GROUP = rf"(?:{_WORD}|[0-9]++(?![A-Za-z]))"
+_GAP = r"(?:\s{1,2}dot\s{1,2}|[\s,.()-]{1,3})"
+SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\s-]+|\+\s?)?{_GROUP}(?:{_GAP}{_GROUP})+", re.I)
+SPELLED_PART = re.compile(rf"(plus[\s-]+|\+\s?)|(\s{{1,2}}dot\s{{1,2}})|({_WORD})|([0-9]+)|([\s,.()-]+)", re.I)
+SPELLED_HINT = re.compile(rf"(?<![A-Za-z0-9])(?:{_WORD}{_GAP}{_GROUP}|[0-9]++{_GAP}{_WORD})", re.I)
 DISGUISE_HINT = re.compile(r"[\[({<]\s?(?:at|dot|@|\.|punkt|point|punto|arroba)\s?[\])}>]|\sdot\s", re.I)
 _AT = r"\s{0,2}[\[({<]\s?(?:at|@|arroba)\s?[\])}>]\s{0,2}"
 _DOT = r"(?:\s{0,2}[\[({<]\s?(?:dot|\.|punkt|point|punto)\s?[\])}>]\s{0,2}|\s{1,2}dot\s{1,2})"
@@ -134,6 +139,32 @@ class Tape:
         self.end = np.concatenate([*ends, self.end[at:]])
 
 
+def spelled(m: re.Match) -> list[tuple[int, int, str]]:
+    """Edits that make a run of spelled and written digits a written one; none where no digit is spelled."""
+    parts = [(p.lastindex, p[0], m.start() + p.start(), m.start() + p.end()) for p in SPELLED_PART.finditer(m[0])]
+    if not any(what == 3 for what, *_ in parts):
+        return []
+    value = {"oh": "0"} | {w: str(d) for d, w in enumerate(DIGIT_WORDS)}
+    new = ["+" if what == 1 else "." if what == 2 or text == "." else value.get(text.lower(), text) for what, text, *_ in parts]
+    octets = "".join(n if n == "." or what in (3, 4) else "" for n, (what, *_) in zip(new, parts)).split(".")
+    ip = len(octets) == 4 and all(0 < len(o) <= 3 and int(o) <= 255 for o in octets)
+    single = [what in (3, 4) and len(n) == 1 for n, (what, *_) in zip(new, parts)]
+    run: list[int] = []
+    for i, (what, text, _, _) in enumerate(parts):
+        if single[i]:
+            run.append(i)
+        if what == 5 and 0 < i and single[i - 1] and single[i + 1]:
+            new[i] = "." if ip and text == "." else ""
+        elif what == 4 and not single[i] or i == len(parts) - 1:
+            # The digits of one run: a phone number without a sign.
+            digits = "".join(new[k] for k in run)
+            if parts[0][0] != 1 and len(digits) >= 9 and sum(parts[k][0] == 3 for k in run) >= 7 and not (
+                    len(digits) >= 12 and luhn(digits)):
+                new[run[0]] = "+" + new[run[0]]
+            run = []
+    return [(a, b, n) for n, (_, text, a, b) in zip(new, parts) if n != text]
+
+
 def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans that only the deobfuscated text shows, in source characters."""
     strange = not text.isascii() and STRANGE.search(text)
@@ -145,20 +176,21 @@ def added(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, i
         tape.text = tape.text.translate(FOLD)
     edits = []
     for m in SPELLED.finditer(tape.text):
-        words = re.findall("[a-z]+|[0-9]", m[0].lower())
-        plus = words[0] == "plus"
-        digits = "".join("0" if w == "oh" else str(DIGIT_WORDS.index(w)) if w in DIGIT_WORDS else w for w in words[plus:])
-        if sum(w.isalpha() for w in words[plus:]) >= 7:
-            edits.append((m.start(), m.end(), "+" * (plus or not (len(digits) >= 12 and luhn(digits))) + digits))
+        edits += spelled(m)
     tape.rewrite(edits)
     edits = []
     for m in DISGUISED.finditer(tape.text):
         for s in _SIGN.finditer(m[0]):
             edits.append((m.start() + s.start(), m.start() + s.end(), "@" if s[1] else "."))
     tape.rewrite(edits)
-    for kind, a, b in detect(tape.text):
-        s, e = int(tape.start[a]), int(tape.end[b - 1])
-        if not any(k == kind and x < e and s < y for k, x, y in base):
+    covers = [sorted((x, y) for k, x, y in base if k == kind) for kind in range(len(KINDS))]
+    at, reach = [0] * len(KINDS), [-1] * len(KINDS)
+    for s, kind, e in sorted({(int(tape.start[a]), kind, int(tape.end[b - 1])) for kind, a, b in detect(tape.text)}):
+        spans = covers[kind]
+        while at[kind] < len(spans) and spans[at[kind]][0] <= s:
+            reach[kind] = max(reach[kind], spans[at[kind]][1])
+            at[kind] += 1
+        if e > reach[kind]:
             found.append((kind, s, e))
     return found
 

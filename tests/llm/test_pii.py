@@ -48,6 +48,39 @@ def test_disguises_map_back_to_source():
         assert pii.added(text, pii.detect(text)) == []
 
 
+def test_disguise_in_a_part_of_what_the_base_finds():
+    cases = {
+        "x jаne@example.com y": ("email", "jаne@example.com", "ne@example.com"),
+        "ask jane dot doe@example.com now": ("email", "jane dot doe@example.com", "doe@example.com"),
+        "x ja\u200bne@example.com y": ("email", "ja\u200bne@example.com", "ne@example.com"),
+        "tel +1 415 555 267１ now": ("phone", "+1 415 555 267１", "+1 415 555 267"),
+    }
+    for text, (kind, part, tail) in cases.items():
+        k, s, t = KINDS.index(kind), text.index(part), text.index(tail)
+        base = pii.detect(text)
+        assert base == [(k, t, t + len(tail))], text
+        assert pii.added(text, base) == [(k, s, s + len(part))], text
+    # What a base span covers is not added again, also beside a disguise elsewhere.
+    for text in ("jane@example.com and ‐", "1.2.3.4 for one two", "+1 415 555 2671 has one 2 three"):
+        assert pii.added(text, pii.detect(text)) == [], text
+
+
+def test_partly_spelled_numbers():
+    cases = {
+        "call +1 415 five five five 2671 now": ("phone", "+1 415 five five five 2671"),
+        "call plus 44 two zero seven nine four six zero nine five eight ok": ("phone", "plus 44 two zero seven nine four six zero nine five eight"),
+        "host 192 dot 168 dot zero dot one up": ("ip", "192 dot 168 dot zero dot one"),
+        "host one nine two dot one six eight dot zero dot one up": ("ip", "one nine two dot one six eight dot zero dot one"),
+        "card 4111 1111 1111 one one one one end": ("card", "4111 1111 1111 one one one one"),
+        "in 2019 four one five five five five two six seven one": ("phone", "four one five five five five two six seven one"),
+    }
+    for text, (kind, part) in cases.items():
+        s = text.index(part)
+        assert (KINDS.index(kind), s, s + len(part)) in pii.added(text, pii.detect(text)), text
+    for text in ("One. Two. Three. Four.", "one, two, three, four", "one 2 three of 2019, four", "version one dot two"):
+        assert pii.added(text, pii.detect(text)) == [], text
+
+
 def test_odd_rows(spark):
     long = "a" * 200_000 + "@" + "1" * 200_000 + " " + "+1(" * 50_000 + " one" * 40_000
     rows = [(1, None), (2, ""), (None, "a@b.co"), (3, long), (3, "1.2.3.4"), (3, "1.2.3.4")]
