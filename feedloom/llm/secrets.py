@@ -4,9 +4,10 @@ Each kind's matches come from one regular expression: ``split`` gives the gaps b
 ``regexp_extract_all`` the matches, so a match's place is the running length of what stands before it.
 Every candidate value is hashed; for each hash the distinct owners and repositories that hold it are
 counted over the whole corpus, in two steps so that one value held by a third of all rows meets in
-partial sums.  A value at ``example_owners`` owners or more is a widely copied example; one that a
-single owner holds and that looks random is owner-specific ("live").  The method adds the spans of
-live generic tokens (kind ``owned``) that no base span touches.
+partial sums, and so are the distinct texts that hold it.  A value at ``example_owners`` owners, in
+``example_repos`` repositories or in ``example_texts`` texts or more is a widely copied example, also
+within one owner; one below all three that looks random is owner-specific ("live"); others are shared.
+The method adds the spans of live generic tokens (kind ``owned``) that no base span touches.
 
 Defined results: NULL or empty text has no spans; NULL owner or repository counts as one owner or
 repository of its own; rows that repeat an id are scanned on their own and identical rows count once
@@ -69,22 +70,24 @@ def candidates(df: DataFrame, id_col: str, text_col: str, owner_col: str, repo_c
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per value hash: distinct owners, distinct repositories (within owners), occurrences."""
+    """Per value hash: distinct owners, distinct repositories (within owners), occurrences, distinct texts."""
     held = found.groupBy("value_hash", "owner", "repo").agg(F.count(F.lit(1)).alias("n"))
     owner = held.groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("repos"), F.sum("n").alias("n"))
+    texts = found.select("value_hash", "th").distinct().groupBy("value_hash").agg(F.count(F.lit(1)).alias("texts"))
     return owner.groupBy("value_hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("repos").alias("repos"),
-                                           F.sum("n").alias("occurrences"))
+                                           F.sum("n").alias("occurrences")).join(texts, "value_hash")
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         repo_col: str = "lang", example_owners: int = 3) -> DataFrame:
-    """Per row: counts by kind, digest of the base spans, all spans, and candidates by class."""
+         repo_col: str = "lang", example_owners: int = 3, example_repos: int = 4, example_texts: int = 16) -> DataFrame:
+    """Per row: counts by kind, digest of the base spans, all spans, candidates by class, and live credentials
+    (``n_live`` without bare hex digests)."""
     found = materialize(candidates(df, id_col, text_col, owner_col, repo_col), "secret-candidates")
     # Values at one owner need no look-up of their own count beyond this: the join is on the value's
     # hash, and AQE splits a partition that one hash fills.
     classed = found.join(ownership(found), "value_hash", "left").withColumn(
-        "class", F.when(F.col("owners") >= example_owners, "example")
-        .when((F.col("owners") == 1) & F.col("random"), "live").otherwise("shared"))
+        "class", F.when((F.col("owners") >= example_owners) | (F.col("repos") >= example_repos)
+                        | (F.col("texts") >= example_texts), "example").when(F.col("random"), "live").otherwise("shared"))
     span = F.struct("start", "kind", "end", "class")
     grouped = classed.groupBy("id", "th", "owner", "repo").agg(F.sort_array(F.collect_list(span)).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < 3)
@@ -100,7 +103,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_co
         F.col("id").alias("id_"), F.col("th").alias("th_"), F.col("owner").alias("owner_"), F.col("repo").alias("repo_"),
         *[count("base", "kind", k).alias(f"n_{KINDS[k]}") for k in range(3)],
         text("base").alias("base"), text("spans").alias("spans"),
-        *[count("spans", "class", c).alias(f"n_{c}") for c in ("live", "shared", "example")])
+        *[count("spans", "class", c).alias(f"n_{c}") for c in ("live", "shared", "example")],
+        F.size(F.filter("spans", lambda s: (s["class"] == "live") & (s["kind"] != 2))).cast("long").alias("n_live_credential"))
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("th"),
                      F.col(owner_col).cast("string").alias("owner"), F.col(repo_col).cast("string").alias("repo"))
     same = [F.col(c).eqNullSafe(F.col(c + "_")) for c in ("id", "th", "owner", "repo")]
@@ -108,9 +112,10 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_co
     return rows.join(grouped, same, "left").select(
         F.col("id").alias(id_col), *[number(f"n_{k}") for k in KINDS[:3]],
         F.sha2(F.coalesce("base", F.lit("")).cast("binary"), 256).alias("base_sha256"),
-        F.coalesce("spans", F.lit("")).alias("spans"), number("n_live"), number("n_shared"), number("n_example"))
+        F.coalesce("spans", F.lit("")).alias("spans"), number("n_live"), number("n_shared"), number("n_example"),
+        number("n_live_credential"))
 
 
 def secrets_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents: the source is the owner, a language's part of it a repository."""
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents")).drop("n_live_credential")

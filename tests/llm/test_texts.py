@@ -58,6 +58,21 @@ def test_secret_ownership(spark):
     assert got[7].spans == f"owned:{s}:{s + len(key)}" and got[7].n_live == 1
 
 
+def test_secret_class_by_repositories_and_texts(spark):
+    spread, copied, both, own, digest = "Qw9xTr27LmZp04VbNs81Xc", "Kd83hsGq10PzmRv5Yt62Lw", "Ab1cD2efGh3iJ4klMn5oP6", "Zx7Cv5Bn3Ma1Sd9Fg2Hj4K", "0123456789abcdef" * 2
+    rows = [(n, f"line {n} token={copied}" + f" secret={spread}" * (n < 4), f"l{n % 4}", "hot") for n in range(40)]
+    rows += [(100, f"password={both}", "l0", "a"), (101, f"password={both} here", "l0", "b"), (102, f"digest {digest}", "l0", "a")]
+    # Copies of one text in one repository are one text.
+    rows += [(200 + n, f"token={own}", "l0", "c") for n in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in secrets.scan(df).collect()}
+    assert all((got[n].n_live, got[n].n_example) == (0, 1 + (n < 4)) for n in range(40))
+    assert got[100].n_live == got[101].n_live == 1 and all(got[200 + n].n_live == 1 for n in range(40))
+    assert (got[102].n_live, got[102].n_live_credential) == (1, 0)
+    import corpus_pipeline
+    assert {r.doc_id for r in corpus_pipeline.secrets(spark, df, SF).collect()} == {*range(40), 102}
+
+
 def test_language_accuracy_and_rules(spark):
     docs = documents(spark)
     rows = QUERIES["op1_language"](spark, SF).collect()
