@@ -1,7 +1,7 @@
 """SentencePiece segmentations by Gumbel top-k without replacement (operator 8).
 
 A text's lattice has a node for every character boundary and an arc for every piece that fits; a piece's
-weight falls with its rank, and characters outside the vocabulary are one arc of their byte pieces.  As
+weight falls with its rank, and characters outside the vocabulary are one arc of their byte pieces (so is U+2581 of the text itself, and bytes that are no UTF-8).  As
 no piece goes on over a space, the lattice falls apart at spaces into word lattices that are built once
 per word.  Backward sums turn weights into exact arc probabilities.
 
@@ -31,6 +31,9 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import bounds, encode_words, mix, slices, table, text_bytes, worker_cache
 
 SPACE = "▁"
+#: Stands for the sign itself where a text holds it; like bytes that are no UTF-8 (escaped as surrogates), it is
+#: a lone surrogate, which no decoded text and no piece holds, and goes through the byte pieces.
+SIGN = "\ud800"
 #: No piece goes on over a space, and none holds a line break or tab: there the lattice falls apart.
 UNIT = re.compile(f"{SPACE}+[^{SPACE}\n\t]*|[^{SPACE}\n\t]+|[\n\t]")
 #: Step of the polynomial hash of a piece's characters.
@@ -39,6 +42,16 @@ STEP = np.uint64(0x100000001B3D)
 CACHE_UNITS = 100_000
 
 
+def marked(text: bytes) -> str:
+    """A text as the lattice sees it: a space in front, spaces as ``SPACE``, the sign itself and bad bytes as surrogates."""
+    return SPACE + text.decode("utf-8", "surrogateescape").replace(SPACE, SIGN).replace(" ", SPACE)
+
+
+def raw(char: str) -> bytes:
+    """The bytes of a character of a marked text."""
+    return SPACE.encode() if char == SIGN else char.encode("utf-8", "surrogateescape")
+
+
 class Lattices:
     """Word lattices side by side: nodes with their arcs, arcs with probability, target node and piece ids."""
 
@@ -104,7 +117,7 @@ class Lattices:
         distance from the word's end."""
         lens = np.fromiter(map(len, units), np.int64, len(units))
         chars = "".join(units)
-        cp = np.frombuffer(chars.encode("utf-32-le"), "<u4").astype(np.uint64)
+        cp = np.frombuffer(chars.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
         ends = bounds(lens)
         owner = np.repeat(np.arange(len(units)), lens)
         left = ends[owner + 1] - np.arange(len(cp))  # characters to the word's end
@@ -129,7 +142,7 @@ class Lattices:
         at, length, ids = np.concatenate(at), np.concatenate(length), np.concatenate(ids)
         many, weight = np.full(len(at), -1), self.weight[ids]
         for n, c in zip(np.flatnonzero(ids < 0).tolist(), odd.tolist()):
-            b = chars[c].encode("utf-8", "replace")
+            b = raw(chars[c])
             many[n], weight[n] = len(self.extra), self.rare * len(b)
             self.extra.append([self.byte[x] for x in b])
         order = np.argsort(at * (self.longest + 1) + (self.longest - length))  # longer arcs of a node first
@@ -310,7 +323,7 @@ def sample(df: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", t
         for pdf in batches:
             texts, keys, ids = pdf["t"].tolist(), pdf["key"].to_numpy(np.int64).view(np.uint64), pdf["id"].to_numpy()
             for i, j in slices(texts, 1 << 20):
-                units = [UNIT.findall(SPACE + t.decode("utf-8", "replace").replace(" ", SPACE)) if t else [] for t in texts[i:j]]
+                units = [UNIT.findall(marked(t)) if t else [] for t in texts[i:j]]
                 flat, lens, types = encode_words(units)
                 starts = lat.starts(types)[flat] if types else np.zeros(0, np.int64)
                 rows = []

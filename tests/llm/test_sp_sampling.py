@@ -75,3 +75,22 @@ def test_odd_rows_and_library_decoding(spark):
         assert r.round_trip and sp.decode(ids) == (text[r.doc_id] or "")
     assert [r.log_inclusion for r in got if r.doc_id in (1, 2)] == [0.0, 0.0]
     assert S.sample(df.limit(0), MODEL).count() == 0
+
+
+def test_space_sign_and_bad_bytes_round_trip(spark):
+    import sentencepiece
+
+    import corpus_pipeline
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    texts = {1: "▁", 2: "cpu ▁▂▃▁ load ▁", 3: "▁the▁dog", 4: " ▁ \n▁\t ▁▁x"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = S.sample(df, MODEL, 3).collect()
+    assert {r.doc_id for r in got} == set(texts) and all(r.round_trip for r in got)
+    for r in got:
+        ids = np.frombuffer(r.ids, "<i4").tolist()
+        assert b"".join(map(S.Lattices(MODEL).surface.__getitem__, ids))[1:].decode() == texts[r.doc_id]
+        assert [sp.id_to_piece(i) for i in ids].count("<0x81>") == texts[r.doc_id].count("▁")
+    bad = spark.sql("select 9L as doc_id, cast(X'61FF20E29680ED' as string) as text")
+    assert all(r.round_trip for r in S.sample(bad, MODEL).collect())
+    enc = corpus_pipeline.encode(spark, df.unionByName(bad), SF)
+    assert {r.doc_id for r in enc.where("round_trip").collect()} == {*texts, 9}
