@@ -227,6 +227,8 @@ RECORD_TAGS = {
     "proceeding": ["proceeding-entry", "proceeding", "ttab-proceeding"],
     "generic": ["record", "item"],
 }
+# Element whose innermost parent is the record in files without a known tag.
+FALLBACK_MARKERS = {"proceeding": "proceeding-number"}
 # Sample-record tag patterns, tried in this order (Q7).
 SAMPLE_TAG_PATTERNS = ["record", "application", "assignment", "proceeding", "trademark"]
 

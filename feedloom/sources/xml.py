@@ -114,18 +114,33 @@ def read_family(spark: SparkSession, paths, family: str, schema: T.StructType,
                 prefix: str | None = None, glob: str | None = None) -> DataFrame:
     """Every record tag of a family, unioned: one split scan per (tag, prefix) over the files that hold it.
 
-    A file without a tag is not scanned for it (the scan would return it as one row).  Only
+    A file without a tag is not scanned for it (the scan would return it as one row); files that hold
+    no known tag of a family with a fallback marker go through ``fallback_records``.  Only
     file names reach the driver.  With ``prefix`` given, only records with that prefix are read.
     """
     held: dict[tuple, list[str]] = {}
+    known: set[str] = set()
     for r in record_tags(spark, paths, S.RECORD_TAGS[family], glob).orderBy("tag", "prefix", "file_path").collect():
         held.setdefault((r.tag, r.prefix or None), []).append(unquote(r.file_path))
+        known.add(unquote(r.file_path))
     out = None
     for (t, p), files in held.items():
         if prefix not in (None, "auto", p):
             continue
         f = read_xml(spark, files, t, schema, p).withColumn("record_tag", F.lit(t))
         out = f if out is None else out.unionByName(f)
+    if family in S.FALLBACK_MARKERS:
+        reader = spark.read
+        if glob:
+            reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+        plain = lambda f: re.sub(r"^(\w+:)/+", r"\1/", f)  # noqa: E731  (listings write file:/ or file:///)
+        known = set(map(plain, known))
+        others = [f for f in map(unquote, reader.text(paths).inputFiles()) if plain(f) not in known]
+        if others:
+            parent, found = fallback_records(spark, others, S.FALLBACK_MARKERS[family], prefix=prefix)
+            if parent:
+                f = parse_records(found, schema)
+                out = f if out is None else out.unionByName(f)
     if out is None:
         empty = spark.createDataFrame([], "file_path string, block_start long, record string")
         out = parse_records(empty, schema).withColumn("record_tag", F.lit(None).cast("string"))
@@ -153,29 +168,105 @@ def generic_records(spark: SparkSession, paths, tag: str, prefix: str | None = N
     return parsed.select("file_path", *cols, F.col("rec._corrupt_record").alias("_corrupt_record"))
 
 
-def fallback_records(spark: SparkSession, paths, marker: str = "proceeding-number",
-                     candidates: list[str] | None = None, prefix: str | None = None) -> tuple[str | None, DataFrame]:
-    """When no known record tag matches, use the innermost element that contains ``marker``.
+def marker_parents(spark: SparkSession, paths, marker: str, glob: str | None = None) -> DataFrame:
+    """(file_path, prefix, parent): the innermost elements around each ``marker``, from the whole files.
 
-    The parent tag is found from a bounded head sample of the text; the scan is then the
-    normal split scan on that tag.
+    The text is cut at '>' as in ``record_tags``.  Each split keeps a stack of its own and hands on what
+    it cannot settle (closes of elements opened before it, markers right under those, elements left
+    open: at most the depth of the document); the splits of a file are then put together in order.  A
+    comment or CDATA section is passed over, unless the split begins within it.
     """
-    head = spark.read.text(paths).limit(2000)
-    parent = None
-    opened: list[str] = []
-    for row in head.collect():
-        for m in re.finditer(r"<(/?)(?:[\w.-]+:)?([\w.-]+)[^>]*?(/?)>", row["value"]):
-            closing, name, selfclose = m.group(1), m.group(2), m.group(3)
-            if closing:
-                if opened and opened[-1] == name:
-                    opened.pop()
-            elif not selfclose:
-                if name == marker and opened:
-                    parent = opened[-1]
-                    break
-                opened.append(name)
-        if parent:
-            break
-    if parent is None:
-        return None, spark.createDataFrame([], "file_path string, record string")
-    return parent, record_texts(spark, paths, parent, prefix)
+    reader = spark.read.option("lineSep", ">")
+    if glob:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    rows = reader.text(paths).select(F.col("_metadata.file_path").alias("file_path"),
+                                     F.col("_metadata.file_block_start").alias("block"), "value")
+    rows = rows.filter(F.col("value").contains("<") | F.col("value").endswith("--") | F.col("value").endswith("]]"))
+
+    def run(batches):
+        import pandas as pd
+        tag = re.compile(r"<(/?)([A-Za-z_][\w.:-]*)(?:\s[^<]*?)?(/?)$")
+        key, opened, events, found, skip = None, [], [], set(), None
+        for pdf in batches:
+            out = []
+            for path, block, v in zip(pdf["file_path"], pdf["block"], pdf["value"]):
+                if (path, block) != key:
+                    if key:
+                        out.append((*key, events + [f"o{t}" for t in opened] + [f"p{t}" for t in sorted(found)]))
+                    key, opened, events, found, skip = (path, block), [], [], set(), None
+                if skip:
+                    skip = None if v.endswith(skip) else skip
+                    continue
+                for start, end in (("<!--", "--"), ("<![CDATA[", "]]")):
+                    at = v.find(start)
+                    if at >= 0:
+                        skip = None if v.endswith(end) and len(v) >= at + len(start + end) else end
+                        break
+                else:
+                    m = tag.search(v)
+                    if m and m[1]:
+                        if m[2] in opened:
+                            while opened.pop() != m[2]:
+                                pass
+                        else:
+                            opened.clear()
+                            events.append(f"c{m[2]}")
+                    elif m:
+                        if m[2].rpartition(":")[2] == marker:
+                            if opened:
+                                found.add(opened[-1])
+                            elif not events or events[-1] != "m":
+                                events.append("m")
+                        if not m[3]:
+                            opened.append(m[2])
+            if out:
+                yield pd.DataFrame(out, columns=["file_path", "block", "events"]).astype({"file_path": object})
+        if key:
+            yield pd.DataFrame([(*key, events + [f"o{t}" for t in opened] + [f"p{t}" for t in sorted(found)])],
+                               columns=["file_path", "block", "events"]).astype({"file_path": object})
+
+    def together(pdf):
+        import pandas as pd
+        opened, found = [], set()
+        for events in pdf.sort_values("block")["events"]:
+            for e in events:
+                kind, name = e[0], e[1:]
+                if kind == "c" and name in opened:
+                    while opened.pop() != name:
+                        pass
+                elif kind == "m" and opened:
+                    found.add(opened[-1])
+                elif kind == "o":
+                    opened.append(name)
+                elif kind == "p":
+                    found.add(name)
+        names = sorted(found)
+        return pd.DataFrame({"file_path": [pdf["file_path"].iloc[0]] * len(names), "prefix": [n.rpartition(":")[0] for n in names],
+                             "parent": [n.rpartition(":")[2] for n in names]}, dtype=object)
+
+    parts = rows.mapInPandas(run, "file_path string, block long, events array<string>")
+    return parts.groupBy("file_path").applyInPandas(together, "file_path string, prefix string, parent string")
+
+
+def fallback_records(spark: SparkSession, paths, marker: str = "proceeding-number",
+                     candidates: list[str] | None = None, prefix: str | None = None,
+                     glob: str | None = None) -> tuple[str | None, DataFrame]:
+    """When no known record tag matches, use the innermost elements that contain ``marker``.
+
+    The parent tags are found file by file in the whole text; each (parent, prefix) is then one split scan
+    over its files, whose records without the marker are left out.  Returns the parent tags (joined by
+    ',' when files differ; None without any) and the records with their tag.  With ``prefix`` given, only
+    elements with that prefix; ``candidates`` restricts the parents.
+    """
+    held: dict[tuple, list[str]] = {}
+    for r in marker_parents(spark, paths, marker, glob).orderBy("parent", "prefix", "file_path").collect():
+        if prefix in (None, "auto", r.prefix or None) and (candidates is None or r.parent in candidates):
+            held.setdefault((r.parent, r.prefix or None), []).append(unquote(r.file_path))
+    out = None
+    for (t, p), files in held.items():
+        f = record_texts(spark, files, t, p).withColumn("record_tag", F.lit(t))
+        out = f if out is None else out.unionByName(f)
+    if out is None:
+        return None, spark.createDataFrame([], "file_path string, block_start long, record string, record_tag string")
+    opens = r"<(?:[A-Za-z_][\w.-]*:)?" + re.escape(marker) + r"[\s/>]"
+    return ",".join(dict.fromkeys(t for t, _ in held)), out.filter(F.col("record").rlike(opens))

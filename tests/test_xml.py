@@ -111,3 +111,27 @@ def test_generic_fields_of_all_records(spark, tmpdir_path):
     recs = "".join(f"<rec><a>{i}</a></rec>\n" for i in range(1500)) + "<rec><a>x</a><late-field>9</late-field></rec>"
     p = _write(tmpdir_path, "g.xml", f"<r>{recs}</r>")
     assert XS.generic_records(spark, p, "rec").filter("late_field = '9'").count() == 1
+
+
+def test_fallback_finds_late_markers_and_each_files_own_parent(spark, tmpdir_path):
+    late = "<root>\n<!-- <x><proceeding-number>0</proceeding-number> -->\n" + "<note>n</note>\n" * 5000 + "<box>\n" + \
+        "".join(f"<filing>\n<proceeding-number>{n}</proceeding-number><status>S</status></filing>\n" for n in range(3000)) + \
+        "<filing><status>none</status></filing></box></root>"
+    _write(tmpdir_path, "a late.xml", late)
+    _write(tmpdir_path, "b.xml", "<n:r><n:cases><n:case a='1'><n:proceeding-number>9001</n:proceeding-number></n:case></n:cases></n:r>")
+    _write(tmpdir_path, "c.xml", "<r><proceeding><proceeding-number>9002</proceeding-number></proceeding><odd><proceeding-number>1</proceeding-number></odd></r>")
+    _write(tmpdir_path, "d.xml", "<r><other/></r>")
+    want = sorted([*map(str, range(3000)), "9001"])
+    only = [os.path.join(tmpdir_path, n) for n in ("a late.xml", "b.xml", "d.xml")]
+    for size in ("4k", "128m"):  # splits within a record, and one for each file
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            tag, recs = XS.fallback_records(spark, only)
+            got = XS.parse_records(recs, XS.flat_schema(["proceeding-number"])).select("rec.`proceeding-number`", "record_tag").collect()
+            fam = XS.read_family(spark, tmpdir_path, "proceeding", X.PROCEEDING_SCHEMA, glob="*.xml").select("record_tag").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert tag == "case,filing" and sorted(r[0] for r in got) == want
+        assert {(r[0] == "9001", r[1]) for r in got} == {(True, "case"), (False, "filing")}
+        assert sorted({r[0] for r in fam}) == ["case", "filing", "proceeding"] and len(fam) == 3002
+    assert XS.fallback_records(spark, os.path.join(tmpdir_path, "d.xml"))[0] is None
