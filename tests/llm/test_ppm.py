@@ -88,3 +88,13 @@ def test_odd_rows_and_plain_trie(spark):
 def test_pruned_contexts_answer_by_their_suffix():
     c, lens = ppm.codes([b"ab", b""])
     assert [hex(x) for x in c] == ["0xffffff61", "0xffff6162", "0xff6162ff", "0xffffffff"] and list(lens) == [3, 1]
+
+
+def test_rare_contexts_keep_their_statistics(spark):
+    """Contexts that hold a small share of all positions beside a large corpus of other text."""
+    train = [b"the quick brown fox jumps over the lazy dog " * 4000, "слово за словом".encode(), b"zq7 zq8 zq7"]
+    held = ["слово за словом".encode(), b"zq7 zq8", b"the dog", bytes("ξένος", "utf8")]
+    rows = [(n, t.decode(), False) for n, t in enumerate(train)] + [(10 + n, t.decode(), True) for n, t in enumerate(held)]
+    got = {r.doc_id: r.score for r in ppm.score(spark.createDataFrame(rows, "doc_id long, text string, held boolean"), "held").collect()}
+    for n, t in enumerate(held):
+        assert got[10 + n] == pytest.approx(plain_log10(train, t), abs=1e-6)
