@@ -12,9 +12,11 @@ from feedloom.llm.decontaminate import decontamination_query
 from feedloom.llm.jaccard_join import jaccard_query
 from feedloom.llm.language import language_query
 from feedloom.llm.licenses import license_query
+from feedloom.llm.merkle import merkle_query, merkle_sql
 from feedloom.llm.pii import pii_query
 from feedloom.llm.ppm import ppm_query
 from feedloom.llm.secrets import secrets_query
+from feedloom.llm.simhash_anchors import simhash_query
 from feedloom.llm.sp_sampling import sampling_query
 from feedloom.llm.token_files import token_files_query
 
@@ -29,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sp_sampling": sampling_query,
     "op9_licenses": license_query,
     "op10_token_files": token_files_query,
+    "op11_simhash": simhash_query,
+    "op12_merkle": merkle_query,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_merkle": merkle_sql()}
