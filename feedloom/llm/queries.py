@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from feedloom.llm.ann import ann_query
+from feedloom.llm.cover_lloyd import codes_query, codes_sql
 from feedloom.llm.decontaminate import decontamination_query
 from feedloom.llm.jaccard_join import jaccard_query
 from feedloom.llm.language import language_query
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": token_files_query,
     "op11_simhash": simhash_query,
     "op12_merkle": merkle_query,
+    "op13_vector_codes": codes_query,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {"op12_merkle": merkle_sql()}
+ORACLES: dict[str, str] = {"op12_merkle": merkle_sql(), "op13_vector_codes": codes_sql()}
