@@ -17,17 +17,21 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bounds, encode_words, mix, share, shared_value, slices, table, text_bytes
-from feedloom.llm.shingles import type_hashes
+from feedloom.llm.common import bounds, mix, share, shared_value, slices, table, text_bytes
 
 RADIUS, BLOCKS, BITS = 15, 4, 16
 K = 5
+#: Longest item of a length class as a multiple of its shortest.
+CLASS = 1.1
+#: Sums of weights that differ by no more than this share count as equal.
+ROUNDING = 1e-9
 
 
 def pair_hashes(h: np.ndarray) -> np.ndarray:
@@ -36,18 +40,40 @@ def pair_hashes(h: np.ndarray) -> np.ndarray:
     return mix(h * np.uint64(0x9E3779B97F4A7C15) + (nxt ^ (nxt >> np.uint64(31))) * np.uint64(0xD1B54A32D192ED03))
 
 
-def running_bits(pairs: np.ndarray) -> np.ndarray:
-    """Running sums of each of the 64 bits (16-bit, wrapping: only short differences are read)."""
-    out = np.zeros((len(pairs) + 1, 64), np.int16)
-    if len(pairs):
-        np.cumsum(np.unpackbits(pairs.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1), axis=0, dtype=np.int16, out=out[1:])
+def lane_width(longest: int) -> int:
+    """Bits of a lane that counts up to ``longest``."""
+    return 8 if longest < 1 << 8 else 16 if longest < 1 << 16 else 32
+
+
+def running_bits(pairs: np.ndarray, width: int) -> np.ndarray:
+    """Running sums of each of the 64 bits in lanes of ``width`` bits, several to a 64-bit word.
+
+    Sums wrap over lanes, but a difference of two of them is exact where it fits its lanes.
+    """
+    lanes = np.uint64(sum(1 << b for b in range(0, 64, width)))
+    out = np.zeros((len(pairs) + 1, width), np.uint64)
+    for k in range(width):
+        np.cumsum((pairs >> np.uint64(k)) & lanes, out=out[1:, k])
     return out
 
 
 def fingerprints(run: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """SimHash of the pairs [a, b)."""
-    ones = run[b] - run[a]
-    return np.packbits(2 * ones > (b - a)[:, None].astype(np.int16), axis=1).view("<u8")[:, 0]
+    """SimHash of the pairs [a, b): a bit is 1 if more than half of them set it (bits in the order of the lanes)."""
+    out = np.empty(len(a), np.uint64)
+    lane = {8: np.uint8, 16: np.uint16, 32: np.uint32}[run.shape[1]]
+    for i in range(0, len(a), 1 << 12):
+        x, y = a[i:i + (1 << 12)], b[i:i + (1 << 12)]
+        ones = np.take(run, y, axis=0)
+        ones -= np.take(run, x, axis=0)
+        most = ones.view(lane) > ((y - x) >> 1).astype(lane)[:, None]
+        out[i:i + len(x)] = np.packbits(most, axis=1).view("<u8")[:, 0]
+    return out
+
+
+def word_hashes(words: list[list]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words end to end, and words per text."""
+    lens = np.fromiter(map(len, words), np.int64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, int(lens.sum())), lens
 
 
 def shingle_counts(words: list) -> Counter:
@@ -65,28 +91,27 @@ class Index:
         n = max(1, len(self.items))
         self.weight = {s: 1 + math.log(n / d) for s, d in df.items()}
         self.default = 1 + math.log(n)
-        prints = []
-        for _, w in self.items:
-            flat, _, types = encode_words([w])
-            p = pair_hashes(type_hashes(types)[flat])
-            m = max(1, len(w) - 1)
-            prints.append(fingerprints(running_bits(p), np.array([0]), np.array([m]))[0])
-        prints = np.array(prints, np.uint64)
         order = sorted(range(len(self.items)), key=lambda i: len(self.items[i][1]))
         near = [0] + [sum(1 << b for b in c) for r in range(1, RADIUS // BLOCKS + 1) for c in combinations(range(BITS), r)]
         near, groups = np.array(near), []
         for i in order:
-            if not groups or len(self.items[i][1]) > 1.16 * len(self.items[groups[-1][0]][1]):
+            if not groups or len(self.items[i][1]) > CLASS * len(self.items[groups[-1][0]][1]):
                 groups.append([])
             groups[-1].append(i)
         self.classes = []
         for g in groups:
             size = round(sum(len(self.items[i][1]) for i in g) / len(g))
+            # Items and windows of a class have lanes of one width, hence bits of one order.
+            width = lane_width(len(self.items[g[-1]][1]))
+            prints = np.zeros(len(g), np.uint64)
+            for k, i in enumerate(g):
+                h = word_hashes([self.items[i][1]])[0]
+                prints[k] = fingerprints(running_bits(pair_hashes(h), width), np.array([0]), np.array([max(1, len(h) - 1)]))[0]
             tables = np.zeros((BLOCKS, 1 << BITS), bool)
             for b in range(BLOCKS):
-                part = (prints[g] >> np.uint64(BITS * b)).astype(np.int64) & ((1 << BITS) - 1)
+                part = (prints >> np.uint64(BITS * b)).astype(np.int64) & ((1 << BITS) - 1)
                 tables[b, (part[:, None] ^ near).ravel()] = True
-            self.classes.append((size, max(1, size // 8), np.array(g), prints[g], tables))
+            self.classes.append((size, max(1, math.isqrt(size) // 2), np.array(g), prints, tables, width))
 
     def similarity(self, item: int, window: Counter) -> float:
         own, both, all_ = self.shingles[item], 0.0, 0.0
@@ -96,15 +121,29 @@ class Index:
             all_ += w * max(own[s], window[s])
         return both / all_ if all_ else 0.0
 
-    def scan(self, texts: list[bytes]):
-        """(text number, item number, first word, similarity) of the best window of each text and item."""
+    def reachable(self, item: int, words: list, threshold: float) -> bool:
+        """Whether any window inside ``words`` can reach the threshold: a window shares no more with the item than all
+        of them together, and the two together weigh at least as much as the item."""
+        own, n = self.shingles[item], len(self.items[item][1])
+        if n < K:  # a window of so few words is one shingle of its own length
+            return True
+        seen, all_, both = Counter(s for s in zip(*(words[i:] for i in range(K))) if s in own), 0.0, 0.0
+        for s, c in own.items():
+            w = self.weight[s]
+            all_ += w * c
+            both += w * min(c, seen[s])
+        return both >= threshold * all_ * (1 - ROUNDING)
+
+    def scan(self, texts: list[bytes], threshold: float):
+        """(text number, item number, first word, similarity) of the best window of each text and item at the threshold or above."""
         words = [t.lower().split() for t in texts]
-        flat, lens, types = encode_words(words)
-        if not len(flat):
+        h, lens = word_hashes(words)
+        if not len(h):
             return
-        run, ends = running_bits(pair_hashes(type_hashes(types)[flat])), bounds(lens)
+        pairs, runs, ends = pair_hashes(h), {}, bounds(lens)
         best = {}
-        for size, stride, group, prints, tables in self.classes:
+        for size, stride, group, prints, tables, width in self.classes:
+            run = runs[width] if width in runs else runs.setdefault(width, running_bits(pairs, width))
             # Starts 0, stride, ... up to the last window; a shorter text is one window.
             many = np.where(lens > 0, np.maximum(0, -(-(lens - size) // stride)) + 1, 0)
             text = np.repeat(np.arange(len(lens)), many)
@@ -112,25 +151,27 @@ class Index:
             start = np.minimum(start, np.maximum(lens[text] - size, 0))
             a = ends[text] + start
             b = np.maximum(np.minimum(a + size, ends[text + 1]) - 1, a + 1)
-            for lo in range(0, len(a), 1 << 15):
-                f = fingerprints(run, a[lo:lo + (1 << 15)], b[lo:lo + (1 << 15)])
-                hit = np.zeros(len(f), bool)
-                for k in range(BLOCKS):
-                    hit |= tables[k][(f >> np.uint64(BITS * k)).astype(np.int64) & ((1 << BITS) - 1)]
-                hit = np.flatnonzero(hit)
-                for step in range(0, len(hit), 4096):
-                    h = hit[step:step + 4096]
-                    rows, cols = np.nonzero(np.bitwise_count(f[h][:, None] ^ prints[None]) <= RADIUS)
-                    for x, c in zip((h[rows] + lo).tolist(), cols.tolist()):
-                        d, item = int(text[x]), int(group[c])
-                        key, n = (d, item), len(self.items[item][1])
-                        if best.get(key, (0, 0))[1] >= 1:
-                            continue
-                        s0 = int(start[x])
-                        for s in range(max(0, s0 - stride), min(s0 + stride, max(0, len(words[d]) - 1)) + 1):
-                            sim = self.similarity(item, shingle_counts(words[d][s:s + n]))
-                            if sim > best.get(key, (0, 0))[1]:
-                                best[key] = (s, sim)
+            f = fingerprints(run, a, b)
+            hit = np.zeros(len(f), bool)
+            for k in range(BLOCKS):
+                hit |= tables[k][(f >> np.uint64(BITS * k)).astype(np.int64) & ((1 << BITS) - 1)]
+            hit = np.flatnonzero(hit)
+            for step in range(0, len(hit), 4096):
+                h = hit[step:step + 4096]
+                rows, cols = np.nonzero(np.bitwise_count(f[h][:, None] ^ prints[None]) <= RADIUS)
+                for x, c in zip(h[rows].tolist(), cols.tolist()):
+                    d, item = int(text[x]), int(group[c])
+                    key, n = (d, item), len(self.items[item][1])
+                    if best.get(key, (0, 0))[1] >= 1:
+                        continue
+                    first = max(0, int(start[x]) - stride)
+                    last = min(int(start[x]) + stride, max(0, len(words[d]) - 1))
+                    if not self.reachable(item, words[d][first:last + n], threshold):
+                        continue
+                    for s in range(first, last + 1):
+                        sim = self.similarity(item, shingle_counts(words[d][s:s + n]))
+                        if sim >= threshold * (1 - ROUNDING) and sim > best.get(key, (0, 0))[1]:
+                            best[key] = (s, sim)
         for (d, item), (s, sim) in best.items():
             yield d, item, s, sim
 
@@ -154,9 +195,8 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
             for pdf in batches:
                 texts, ids, found = pdf["t"].tolist(), pdf["id"].to_numpy(), []
                 for i, j in slices(texts, 1 << 20):
-                    for d, item, s, sim in index.scan(texts[i:j]):
-                        if sim >= threshold:
-                            found.append((ids[i + d], index.items[item][0], s, len(index.items[item][1]), sim))
+                    for d, item, s, sim in index.scan(texts[i:j], threshold):
+                        found.append((ids[i + d], index.items[item][0], s, len(index.items[item][1]), sim))
                 yield pd.DataFrame(found, columns=["id", "item", "start_word", "n_words", "similarity"])
 
         part = rows.mapInPandas(lambda b, run=run: run(b), schema)

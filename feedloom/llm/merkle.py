@@ -29,7 +29,7 @@ from feedloom.llm.common import materialize, table
 
 ARITY = 8
 #: Nodes of a window: whole runs, few enough for any task.
-WINDOW = ARITY ** 4
+WINDOW = ARITY ** 3
 #: Columns of a leaf, in order.
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 

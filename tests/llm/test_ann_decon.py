@@ -81,8 +81,73 @@ def test_planted_passages_are_found(spark):
 def test_block_tables_guarantee_the_radius():
     rng = np.random.default_rng(1)
     index = decontaminate.Index([(1, b"a b c d e f g h i j k l m n o p")])
-    _, _, _, prints, tables = index.classes[0]
+    prints, tables = index.classes[0][3:5]
     for _ in range(300):
         flip = rng.choice(64, decontaminate.RADIUS, replace=False)
         f = int(prints[0]) ^ sum(1 << int(x) for x in flip)
         assert any(tables[k][(f >> (16 * k)) & 0xFFFF] for k in range(4))
+
+
+def plain_best(items, text):
+    """item -> best similarity over every window of the item's length, by sliding one word at a time."""
+    from collections import Counter
+    from math import log
+
+    def shingles(w):
+        return Counter(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
+    own = {i: shingles(t.lower().split()) for i, t in items}
+    df = Counter(s for c in own.values() for s in c)
+    weight = lambda s: 1 + log(len(items) / df.get(s, 1))
+    words, out = text.lower().split(), {}
+    for i, t in items:
+        n, best = len(t.split()), 0
+        for a in range(max(1, len(words))):
+            win = shingles(words[a:a + n])
+            if own[i] & win:
+                both = sum(weight(s) * min(own[i][s], win[s]) for s in own[i])
+                best = max(best, both / sum(weight(s) * max(own[i][s], win[s]) for s in own[i] | win))
+        out[i] = best
+    return out
+
+
+def test_every_window_by_sliding(spark):
+    rng = random.Random(8)
+    vocab = [f"w{n}" for n in range(500)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(n))) for i, n in enumerate([5, 12, 13, 20, 33, 34, 60, 90, 150, 150])]
+    items.append((10, items[9][1]))  # an item twice: both are reported
+    docs = [(900, " ".join([*vocab, items[9][1]])), (900, " ".join([*vocab, items[9][1]])), (901, items[5][1] + " " + items[5][1])]
+    for d in range(40):
+        i, t = items[d % 11]
+        own = t.split()
+        at = rng.randrange(len(own))
+        for e in range(rng.choice([0, 1, len(own) // 12, len(own) // 6])):  # some end below the threshold
+            own[(at + e) % len(own)] = f"edited{e}"
+        rest = [rng.choice(vocab) for _ in range(rng.randrange(200))]
+        docs.append((d, " ".join(rest[:50] + own + rest[50:])))
+    want = sorted((d, i) for d, t in docs for i, s in plain_best(items, t).items() if s >= 0.75 - 1e-9)
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"),
+                                      spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == want and len(want) >= 25
+
+
+def test_very_long_items_and_texts():
+    rng = random.Random(9)
+    item = [f"v{rng.randrange(50_000)}" for _ in range(20_000)]
+    edited = [w if rng.random() > 0.02 else "other" for w in item]
+    text = " ".join([f"v{rng.randrange(50_000)}" for _ in range(7_777)] + edited + ["end"] * 30_000)
+    index = decontaminate.Index([(1, " ".join(item).encode()), (2, b"a b c d e f")])
+    assert [(i, s) for _, i, s, _ in index.scan([text.encode(), b""], 0.75)] == [(0, 7_777)]
+
+
+def test_recall_of_edited_passages():
+    rng, hits, vocab = random.Random(2), 0, [f"w{i}" for i in range(3000)]
+    for n in [12, 30, 60, 100, 200] * 8:
+        item = [rng.choice(vocab) for _ in range(n)]
+        at, own = rng.randrange(n), list(item)
+        for e in range(max(1, n // 14)):  # one run of edits: similarity about 0.8
+            own[(at + e) % n] = f"edited{e}"
+        shorter = [rng.choice(vocab) for _ in range(int(n / 1.09))]  # shares the item's length class
+        index = decontaminate.Index([(0, " ".join(shorter).encode()), (1, " ".join(item).encode())])
+        doc = [rng.choice(vocab) for _ in range(rng.randrange(300))] + own + [rng.choice(vocab) for _ in range(rng.randrange(300))]
+        hits += [i for _, i, _, _ in index.scan([" ".join(doc).encode()], 0.7)] == [1]
+    assert hits >= 38
