@@ -134,6 +134,38 @@ class Index:
             both += w * min(c, seen[s])
         return both >= threshold * all_ * (1 - ROUNDING)
 
+    def best_shift(self, item: int, words: list, ranges: list[tuple[int, int]]) -> tuple[int, float]:
+        """First word and exact similarity of the best window that starts in one of the ``ranges``.
+
+        Overlapping ranges are walked once; from one start to the next, one shingle leaves and one comes.
+        """
+        own, n, best = self.shingles[item], len(self.items[item][1]), (-1, -1.0)
+        runs = [tuple(words[i:i + K]) for i in range(len(words) - K + 1)] if n >= K else []
+        whole = sum(self.weight[s] * c for s, c in own.items())
+        done = -1
+        for first, last in sorted(ranges):
+            first = max(first, done + 1)
+            done = max(done, last)
+            seen, both, all_ = Counter(), 0.0, whole
+            for s in range(first, last + 1):
+                if n < K:
+                    sim = self.similarity(item, shingle_counts(words[s:s + n]))
+                else:
+                    for x in runs[s:s + n - K + 1] if s == first else runs[s + n - K:s + n - K + 1]:
+                        w = self.weight.get(x, self.default)
+                        both, all_ = (both + w, all_) if seen[x] < own[x] else (both, all_ + w)
+                        seen[x] += 1
+                    sim = both / all_
+                if sim > best[1] + ROUNDING:
+                    best = (s, sim)
+                if n >= K and s < len(runs):
+                    x = runs[s]
+                    w = self.weight.get(x, self.default)
+                    seen[x] -= 1
+                    both, all_ = (both - w, all_) if seen[x] < own[x] else (both, all_ - w)
+        s = best[0]
+        return s, self.similarity(item, shingle_counts(words[s:s + n])) if s >= 0 else 0.0
+
     def scan(self, texts: list[bytes], threshold: float):
         """(text number, item number, first word, similarity) of the best window of each text and item at the threshold or above."""
         words = [t.lower().split() for t in texts]
@@ -141,7 +173,7 @@ class Index:
         if not len(h):
             return
         pairs, runs, ends = pair_hashes(h), {}, bounds(lens)
-        best = {}
+        near: dict[tuple[int, int], list[tuple[int, int]]] = {}
         for size, stride, group, prints, tables, width in self.classes:
             run = runs[width] if width in runs else runs.setdefault(width, running_bits(pairs, width))
             # Starts 0, stride, ... up to the last window; a shorter text is one window.
@@ -161,19 +193,15 @@ class Index:
                 rows, cols = np.nonzero(np.bitwise_count(f[h][:, None] ^ prints[None]) <= RADIUS)
                 for x, c in zip(h[rows].tolist(), cols.tolist()):
                     d, item = int(text[x]), int(group[c])
-                    key, n = (d, item), len(self.items[item][1])
-                    if best.get(key, (0, 0))[1] >= 1:
-                        continue
+                    n = len(self.items[item][1])
                     first = max(0, int(start[x]) - stride)
                     last = min(int(start[x]) + stride, max(0, len(words[d]) - 1))
-                    if not self.reachable(item, words[d][first:last + n], threshold):
-                        continue
-                    for s in range(first, last + 1):
-                        sim = self.similarity(item, shingle_counts(words[d][s:s + n]))
-                        if sim >= threshold * (1 - ROUNDING) and sim > best.get(key, (0, 0))[1]:
-                            best[key] = (s, sim)
-        for (d, item), (s, sim) in best.items():
-            yield d, item, s, sim
+                    if self.reachable(item, words[d][first:last + n], threshold):
+                        near.setdefault((d, item), []).append((first, last))
+        for (d, item), ranges in near.items():
+            s, sim = self.best_shift(item, words[d], ranges)
+            if sim >= threshold * (1 - ROUNDING):
+                yield d, item, s, sim
 
 
 def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",

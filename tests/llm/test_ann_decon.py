@@ -141,13 +141,13 @@ def test_very_long_items_and_texts():
 
 def test_recall_of_edited_passages():
     rng, hits, vocab = random.Random(2), 0, [f"w{i}" for i in range(3000)]
-    for n in [12, 30, 60, 100, 200] * 8:
+    for n, edits in [(60, 3), (100, 6), (200, 16), (400, 40)] * 8:
         item = [rng.choice(vocab) for _ in range(n)]
         at, own = rng.randrange(n), list(item)
-        for e in range(max(1, n // 14)):  # one run of edits: similarity about 0.8
+        for e in range(edits):  # one run of edits: similarity about 0.8
             own[(at + e) % n] = f"edited{e}"
         shorter = [rng.choice(vocab) for _ in range(int(n / 1.09))]  # shares the item's length class
         index = decontaminate.Index([(0, " ".join(shorter).encode()), (1, " ".join(item).encode())])
         doc = [rng.choice(vocab) for _ in range(rng.randrange(300))] + own + [rng.choice(vocab) for _ in range(rng.randrange(300))]
-        hits += [i for _, i, _, _ in index.scan([" ".join(doc).encode()], 0.7)] == [1]
-    assert hits >= 38
+        hits += [i for _, i, _, _ in index.scan([" ".join(doc).encode()], 0.75)] == [1]
+    assert hits >= 30
