@@ -22,13 +22,13 @@ from __future__ import annotations
 
 import math
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bounds, encode_words, mix, slices, table, text_bytes, worker_cache
+from feedloom.llm.common import bounds, mix, slices, table, text_bytes, worker_cache
 
 SPACE = "▁"
 #: Stands for the sign itself where a text holds it; like bytes that are no UTF-8 (escaped as surrogates), it is
@@ -39,7 +39,7 @@ UNIT = re.compile(f"{SPACE}+[^{SPACE}\n\t]*|[^{SPACE}\n\t]+|[\n\t]")
 #: Step of the polynomial hash of a piece's characters.
 STEP = np.uint64(0x100000001B3D)
 #: Word lattices kept per worker before the cache starts anew.
-CACHE_UNITS = 100_000
+CACHE_UNITS = 250_000
 
 
 def marked(text: bytes) -> str:
@@ -60,7 +60,7 @@ class Lattices:
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         self.piece = {}
         self.byte = [0] * 256
-        self.surface = [b""] * sp.get_piece_size()
+        self.surface = np.full(sp.get_piece_size(), b"", object)
         for i in range(sp.get_piece_size()):
             s = sp.id_to_piece(i)
             if sp.is_byte(i):
@@ -97,8 +97,9 @@ class Lattices:
     def clear(self):
         self.start: dict[str, int] = {}
         self.nodes = 0
-        self.room = {k: np.zeros(0, t) for k, t in (("edge", float), ("logq", float), ("to", np.int64), ("id", np.int32), ("bytes", np.int32), ("first", np.int64))}
-        self.arcs = {k: self.room[k] for k in ("edge", "logq", "to", "id", "bytes")}
+        # A character outside the vocabulary has the id -1 - n, n being its place among ``extra``.
+        self.room = {k: np.zeros(0, t) for k, t in (("edge", float), ("logq", float), ("to", np.int32), ("id", np.int32), ("first", np.int64))}
+        self.arcs = {k: self.room[k] for k in ("edge", "logq", "to", "id")}
         self.first = np.zeros(1, np.int64)
         self.extra: list[list[int]] = []
 
@@ -140,13 +141,13 @@ class Lattices:
             go = self.begins[m & np.uint64((1 << 22) - 1)] & (left[on] > n)
             on, h = on[go], h[go]
         at, length, ids = np.concatenate(at), np.concatenate(length), np.concatenate(ids)
-        many, weight = np.full(len(at), -1), self.weight[ids]
+        weight = self.weight[ids]
         for n, c in zip(np.flatnonzero(ids < 0).tolist(), odd.tolist()):
             b = raw(chars[c])
-            many[n], weight[n] = len(self.extra), self.rare * len(b)
+            ids[n], weight[n] = -1 - len(self.extra), self.rare * len(b)
             self.extra.append([self.byte[x] for x in b])
         order = np.argsort(at * (self.longest + 1) + (self.longest - length))  # longer arcs of a node first
-        at, length, ids, many, weight = at[order], length[order], ids[order], many[order], weight[order]
+        at, length, ids, weight = at[order], length[order], ids[order], weight[order]
         node = at + owner[at]  # a word of n characters has n + 1 nodes
         to = node + length
         back = np.zeros(len(cp) + len(units))
@@ -164,20 +165,24 @@ class Lattices:
         within = total - np.concatenate([[0.0], total])[firsts[node]]
         last = np.append(np.diff(node) != 0, True)
         base, arcs = self.nodes, len(self.arcs["to"])
-        new_arcs = {"edge": base + node + np.where(last, 1.0, within), "logq": logq, "to": base + to, "id": ids, "bytes": many}
+        new_arcs = {"edge": base + node + np.where(last, 1.0, within), "logq": logq, "to": base + to, "id": ids}
         self.arcs = {k: self.grown(k, v, new_arcs[k]) for k, v in self.arcs.items()}
         self.first = self.grown("first", self.first[:-1], np.append(arcs + firsts, len(self.arcs["to"])))
         self.start.update(zip(units, (base + ends[:-1] + np.arange(len(units))).tolist()))
         self.nodes = base + len(back)
 
     def starts(self, units: list[str]) -> np.ndarray:
-        new = [u for u in units if u not in self.start]
-        if new and len(self.start) + len(new) > CACHE_UNITS:
-            self.clear()
-            new = units
-        if new:
+        """Start node of each word; lattices of new words are built first."""
+        out = np.fromiter(map(self.start.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            new = list(dict.fromkeys(map(units.__getitem__, missing.tolist())))
+            if len(self.start) + len(new) > CACHE_UNITS:
+                self.clear()
+                new, missing = list(dict.fromkeys(units)), np.arange(len(units))
             self.add(new)
-        return np.fromiter(map(self.start.__getitem__, units), np.int64, len(units))
+            out[missing] = np.fromiter(map(self.start.__getitem__, map(units.__getitem__, missing.tolist())), np.int64, len(missing))
+        return out
 
     def draw(self, nodes: np.ndarray, seeds: np.ndarray):
         """Complete each node to its word's end: arcs in order, and arcs per node."""
@@ -197,27 +202,28 @@ class Lattices:
                 on = on[edge[a[on]] <= aim[on]]
             owner.append(live)
             taken.append(a)
-            at, step = to[a], step + 1
+            at, step = to[a].astype(np.int64), step + 1
         if not owner:
             return np.zeros(0, np.int64), np.zeros(len(nodes), np.int64)
         owner, taken = np.concatenate(owner), np.concatenate(taken)
         return taken[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(nodes))
 
-    def ids(self, path: np.ndarray) -> np.ndarray:
+    def ids(self, path: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids of arcs laid end to end, and where each of the paths between ``ends`` then ends."""
         ids = self.arcs["id"][path]
         odd = np.flatnonzero(ids < 0)
         if not len(odd):
-            return ids
-        more = [self.extra[m] for m in self.arcs["bytes"][path[odd]].tolist()]
+            return ids, ends
+        more = [self.extra[m] for m in (-1 - ids[odd]).tolist()]
         times = np.ones(len(ids), np.int64)
         times[odd] = list(map(len, more))
         out = np.repeat(ids, times)
         out[out < 0] = list(chain.from_iterable(more))
-        return out
+        return out, bounds(times)[ends]
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: np.ndarray) -> bytes:
         """The text behind piece ids: surfaces joined, without the space put in front."""
-        return b"".join(map(self.surface.__getitem__, ids))[1:]
+        return b"".join(self.surface[ids].tolist())[1:]
 
 
 def uniform(seeds: np.ndarray, place) -> np.ndarray:
@@ -226,7 +232,7 @@ def uniform(seeds: np.ndarray, place) -> np.ndarray:
     return ((h >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
-def truncated(mass: np.ndarray, below: float, u: np.ndarray) -> np.ndarray:
+def truncated(mass: np.ndarray, below, u: np.ndarray) -> np.ndarray:
     """Gumbel values of that log-mass, given that they lie below a value."""
     with np.errstate(over="ignore", divide="ignore"):
         return np.where(mass == -np.inf, -np.inf, mass - np.log(np.exp(np.minimum(mass - below, 700)) - np.log(u)))
@@ -237,17 +243,11 @@ def mix_one(seed, salt) -> np.ndarray:
 
 
 class Path:
-    """A found segmentation with the Gumbel values of what leaves it at each of its nodes from ``since`` on."""
-
-    def __init__(self, arcs, logq, value, since, seed):
-        self.arcs, self.value = arcs, value
-        self.before = np.concatenate([[0.0], np.cumsum(logq)])
-        self.logp = float(self.before[-1])
-        q = np.exp(logq)
-        with np.errstate(divide="ignore"):
-            mass = np.where(q < 1 - 1e-12, self.before[:-1] + np.log1p(-np.minimum(q, 1 - 1e-16)), -np.inf)
-        mass[:since] = -np.inf
-        self.rest = truncated(mass, value, uniform(np.broadcast_to(seed, len(arcs)), np.arange(len(arcs))))
+    """A found segmentation with the Gumbel values of what leaves it at each of its nodes."""
+
+    def __init__(self, arcs, before, value, rest):
+        self.arcs, self.before, self.value, self.rest = arcs, before, value, rest
+        self.logp = float(before[-1])
         self.out: dict[int, set[int]] = {}
 
     def best(self):
@@ -255,6 +255,25 @@ class Path:
         return (float(self.rest[i]), i) if i >= 0 else (-np.inf, -1)
 
 
+def paths(arcs: list[np.ndarray], logq: np.ndarray, values: list[float], since: list[int], seeds: np.ndarray) -> list[Path]:
+    """Paths of given arcs and Gumbel values; what leaves one before its node ``since`` belongs to another path."""
+    size = np.fromiter(map(len, arcs), np.int64, len(arcs))
+    ends = bounds(size)
+    step = logq[np.concatenate(arcs)] if len(arcs) else np.zeros(0)
+    before = np.zeros(len(step) + len(arcs))  # every path starts with a 0
+    for n, (a, b) in enumerate(zip(ends.tolist(), ends[1:].tolist())):
+        np.cumsum(step[a:b], out=before[a + n + 1:b + n + 1])
+    owner = np.repeat(np.arange(len(arcs)), size)
+    place = np.arange(len(step)) - ends[owner]
+    q = np.exp(step)
+    with np.errstate(divide="ignore"):
+        mass = np.where(q < 1 - 1e-12, before[np.arange(len(step)) + owner] + np.log1p(-np.minimum(q, 1 - 1e-16)), -np.inf)
+    mass[place < np.asarray(since, np.int64)[owner]] = -np.inf
+    rest = truncated(mass, np.asarray(values)[owner], uniform(seeds[owner], place))
+    return [Path(x, before[a + n:b + n + 1], value, rest[a:b])
+            for n, (x, value, a, b) in enumerate(zip(arcs, values, ends.tolist(), ends[1:].tolist()))]
+
+
 def top_k(lat: Lattices, starts: np.ndarray, lens: np.ndarray, keys: np.ndarray, k: int):
     """For texts of ``lens`` words with start nodes ``starts``: per text the paths found and kappa."""
     ends = bounds(lens)
@@ -266,19 +285,17 @@ def top_k(lat: Lattices, starts: np.ndarray, lens: np.ndarray, keys: np.ndarray,
     cut = bounds(per)[ends]
     root = -np.log(-np.log(uniform(seeds(2), 0)))
     gum = seeds(3)
-    found = []
-    for d in range(len(lens)):
-        a = arcs[cut[d]:cut[d + 1]]
-        found.append([Path(a, logq[a], float(root[d]), 0, gum[d])])
+    own = [arcs[a:b] for a, b in zip(cut.tolist(), cut[1:].tolist())]
+    found = [[p] for p in paths(own, logq, root.tolist(), [0] * len(own), gum)]
     for r in range(1, k):
-        todo, aim, less = [], uniform(seeds(10 + r), 0), uniform(seeds(20 + r), 0)
-        for d, paths in enumerate(found):
-            if len(paths) < r:
+        todo, masses, aim, less = [], [], uniform(seeds(10 + r), 0), uniform(seeds(20 + r), 0)
+        for d, have in enumerate(found):
+            if len(have) < r:
                 continue
-            value, i, p = max(((*x.best(), n) for n, x in enumerate(paths)), key=lambda x: x[0])
+            value, i, p = max(((*x.best(), n) for n, x in enumerate(have)), key=lambda x: x[0])
             if value == -np.inf:
                 continue
-            old = paths[p]
+            old = have[p]
             node_arc = int(old.arcs[i])
             # The node is the one whose arcs hold node_arc.
             node = int(np.searchsorted(first, node_arc, side="right")) - 1
@@ -290,23 +307,46 @@ def top_k(lat: Lattices, starts: np.ndarray, lens: np.ndarray, keys: np.ndarray,
             out.add(arc)
             left = [x for x in choice if x != arc]
             mass = old.before[i] + math.log(np.exp(logq[left]).sum()) if left else -np.inf
-            old.rest[i] = truncated(np.array([mass]), value, less[d:d + 1])[0]
+            masses.append(mass)
             # Word of arc i: words before it end where a target node has no arcs.
             done = int((first[to[old.arcs[:i]] + 1] == first[to[old.arcs[:i]]]).sum())
             nodes = np.concatenate([[to[arc]], starts[ends[d] + done + 1:ends[d + 1]]])
             todo.append((d, p, i, arc, value, nodes, done))
         if not todo:
             break
+        of, values = [x[0] for x in todo], np.array([x[4] for x in todo])
+        for (d, p, i, *_), rest in zip(todo, truncated(np.array(masses), values, less[of])):
+            found[d][p].rest[i] = rest  # what still leaves the old path there
         size = np.array([len(x[5]) for x in todo])
         place = np.concatenate([np.arange(len(x[5])) + x[6] for x in todo]).astype(np.uint64)
         seed = np.repeat(mix_one(keys[[x[0] for x in todo]], 30 + r), size)
         tail, per = lat.draw(np.concatenate([x[5] for x in todo]), mix(seed + place))
         cut = bounds(per)[bounds(size)]
         fresh = seeds(40 + r)
-        for n, (d, p, i, arc, value, _, _) in enumerate(todo):
-            a = np.concatenate([found[d][p].arcs[:i], [arc], tail[cut[n]:cut[n + 1]]])
-            found[d].append(Path(a, logq[a], value, i + 1, fresh[d]))
-    return [(paths, max(x.best()[0] for x in paths)) for paths in found]
+        new = [np.concatenate([found[d][p].arcs[:i], [arc], tail[cut[n]:cut[n + 1]]]) for n, (d, p, i, arc, *_) in enumerate(todo)]
+        for d, p in zip(of, paths(new, logq, values.tolist(), [x[2] + 1 for x in todo], fresh[of])):
+            found[d].append(p)
+    return [(have, max(x.best()[0] for x in have)) for have in found]
+
+
+def draws(lat: Lattices, texts: list[bytes], keys: np.ndarray, k: int):
+    """Rows (text number, draw, ids, n_pieces, logp, perturbed, log_inclusion, round_trip), a slice of texts at a time."""
+    for i, j in slices(texts, 1 << 20):
+        units = [UNIT.findall(marked(t)) if t else [] for t in texts[i:j]]
+        lens = np.fromiter(map(len, units), np.int64, len(units))
+        starts = lat.starts(list(chain.from_iterable(units)))
+        found = top_k(lat, starts, lens, keys[i:j], k)
+        every = [p.arcs for have, _ in found for p in have]
+        ids, ends = lat.ids(np.concatenate(every), bounds(np.fromiter(map(len, every), np.int64, len(every))))
+        ids, ends, at, rows = ids.astype("<i4", copy=False), ends.tolist(), 0, []
+        for d, (have, kappa) in enumerate(found):
+            for n, p in enumerate(have):
+                pieces, at = ids[ends[at]:ends[at + 1]], at + 1
+                with np.errstate(divide="ignore", over="ignore"):
+                    inc = 0.0 if kappa == -np.inf else p.logp - kappa if p.logp - kappa < -30 else float(
+                        np.log(-np.expm1(-np.exp(p.logp - kappa))))
+                rows.append((i + d, n + 1, pieces.tobytes(), len(pieces), p.logp, p.value, inc, lat.decode(pieces) == texts[i + d]))
+        yield rows
 
 
 def sample(df: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -322,20 +362,9 @@ def sample(df: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", t
         lat = cache[model_path]
         for pdf in batches:
             texts, keys, ids = pdf["t"].tolist(), pdf["key"].to_numpy(np.int64).view(np.uint64), pdf["id"].to_numpy()
-            for i, j in slices(texts, 1 << 20):
-                units = [UNIT.findall(marked(t)) if t else [] for t in texts[i:j]]
-                flat, lens, types = encode_words(units)
-                starts = lat.starts(types)[flat] if types else np.zeros(0, np.int64)
-                rows = []
-                for d, (paths, kappa) in enumerate(top_k(lat, starts, lens, keys[i:j], k)):
-                    for n, p in enumerate(paths):
-                        pieces = lat.ids(p.arcs)
-                        with np.errstate(divide="ignore", over="ignore"):
-                            inc = 0.0 if kappa == -np.inf else p.logp - kappa if p.logp - kappa < -30 else float(
-                                np.log(-np.expm1(-np.exp(p.logp - kappa))))
-                        rows.append((ids[i + d], n + 1, pieces.astype("<i4").tobytes(), len(pieces), p.logp, p.value, inc,
-                                     lat.decode(pieces.tolist()) == texts[i + d]))
-                yield pd.DataFrame(rows, columns=["id", "draw", "ids", "n_pieces", "logp", "perturbed", "log_inclusion", "round_trip"])
+            for rows in draws(lat, texts, keys, k):
+                out = pd.DataFrame(rows, columns=["id", "draw", "ids", "n_pieces", "logp", "perturbed", "log_inclusion", "round_trip"])
+                yield out.assign(id=ids[out["id"].to_numpy(np.int64)])
 
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("key"), text_bytes(text_col).alias("t"))
     return rows.mapInPandas(run, f"id {kind}, draw int, ids binary, n_pieces int, logp double, perturbed double, "
