@@ -17,6 +17,8 @@ from feedloom.session import scratch_path
 
 #: Text handled at a time inside a task, in bytes (one longer document is handled alone, whole).
 SLICE_BYTES = 3 << 20
+#: Bytes of an Arrow batch on its way to a Python worker (one longer row is a batch of its own).
+BATCH_BYTES = 8 << 20
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -95,5 +97,11 @@ def shared_value(shared):
     return pickle.loads(shared.value)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches sent to Python workers by bytes, whatever the length of a row."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

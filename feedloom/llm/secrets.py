@@ -53,7 +53,8 @@ def candidates(df: DataFrame, id_col: str, text_col: str, owner_col: str, repo_c
                        F.explode(F.concat(*[F.coalesce(x, empty) for x in found])).alias("m"))
     rows = rows.select("id", "th", "owner", "repo", "m.*")
     place = Window.partitionBy("id", "th", "owner", "repo", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    rows = (rows.repartition("id", "th").dropDuplicates()
+    # Equal rows are dropped within tasks first, so a row that repeats over the table meets nowhere whole.
+    rows = (rows.dropDuplicates()
             .withColumn("end", F.sum(F.col("gap").cast("long") + F.length("value")).over(place))
             .withColumn("start", F.col("end") - F.length("value")))
     secret = F.when(F.col("kind") == 0, F.regexp_extract("value", ASSIGN, 2)).otherwise(F.col("value"))
