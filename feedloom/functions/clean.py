@@ -106,6 +106,31 @@ def to_whole_number(c) -> Column:
     return F.when(s.rlike(NUMBER_SHAPE), _try_cast(_try_cast(s, "decimal(38,6)"), "bigint"))
 
 
+def whole_number_text(c) -> Column:
+    """P10 for keys and codes kept as text: digits stay as they are ('00012'), other numbers lose their fraction
+    ('12.0' -> '12'), anything else -> NULL."""
+    s = strip_ws(c)
+    return F.when(s.rlike(r"^[0-9]+$"), s).otherwise(to_whole_number(c).cast("string"))
+
+
+def typed_text(name: str, kind: str, c=None) -> tuple[Column, Column]:
+    """A raw text column as ``kind`` by the cleaning rules, and whether it held a value that does not convert."""
+    raw = null_token(_c(c) if c is not None else F.col(f"`{name}`"))
+    present = text_or_null(raw)
+    if kind == "date":
+        value = to_date_text(raw)
+        return value, date_unparsable(raw)
+    if kind == "boolean":
+        value = to_flag_bool(raw)
+    elif kind in ("int", "bigint"):
+        value = to_whole_number(raw).cast(kind)
+    elif name in S.INTEGER_NAMES:
+        value = whole_number_text(raw)
+    else:
+        return present, F.lit(False)
+    return value, F.coalesce(present.isNotNull() & value.isNull(), F.lit(False))
+
+
 def yyyymmdd_to_date(c) -> Column:
     """'YYYYMMDD' -> DATE; NULL unless 8 digits and a real calendar day."""
     s = strip_ws(c)

@@ -80,15 +80,11 @@ def first_n_per_group(df: DataFrame, group: list[str], order: list, n: int,
 def keep_first(df: DataFrame, key: list[str], order: list, tiebreak: list[str] | None = None) -> DataFrame:
     """One row per key, the first by ``order`` (conflict semantics of insert-ignore).
 
-    With ascending column-name orderings this is a ``min_by`` aggregation: one shuffle with
-    map-side combining, so a key holding a third of the rows shrinks to one row per task
-    before the exchange.  Other orderings use the salted two-stage window.
+    The filter on ``row_number`` is applied within each task before the exchange (a window group
+    limit), so a key that holds a third of the rows crosses it with one row a task.
     """
-    names = list(order) + list(tiebreak or [])
-    if all(isinstance(c, str) for c in names):
-        rest = [c for c in df.columns if c not in key]
-        return first_by_aggregate(df, key, names, rest).select(*df.columns)
-    return first_n_per_group(df, key, order, 1, tiebreak=tiebreak)
+    w = Window.partitionBy(*key).orderBy(*_cols(order), *_cols(tiebreak or []))
+    return df.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") == 1).drop("__r")
 
 
 def first_by_aggregate(df: DataFrame, group: list[str], order: list[str], cols: list[str]) -> DataFrame:
@@ -100,17 +96,21 @@ def first_by_aggregate(df: DataFrame, group: list[str], order: list[str], cols:
     return df.groupBy(*group).agg(F.min_by(s, o).alias("__f")).select(*group, "__f.*")
 
 
-def file_positions(scan: DataFrame, name: str = "row_position") -> DataFrame:
+def file_positions(scan: DataFrame, name: str = "row_position", scans: str | None = None) -> DataFrame:
     """Row position inside each source file, in file order, for a text/CSV scan.
 
     ``scan`` must carry ``file_path`` and ``block_start`` (from ``_metadata``) and is tagged
     here with ``monotonically_increasing_id`` right at the scan, where rows are still in file
     order.  Counts per (file, block) form a small table whose prefix sums give each block's
-    offset; a big file is therefore never funnelled through one task.
+    offset; a big file is therefore never funnelled through one task.  Where a file is scanned more than
+    once (one record tag a scan), ``scans`` names the column that tells these scans apart: positions then run
+    through one scan after the other.
     """
     d = scan.withColumn("__mid", F.monotonically_increasing_id())
-    blocks = d.groupBy("file_path", "block_start").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__m0"))
-    w = Window.partitionBy("file_path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1)
+    extra = [scans] if scans else []
+    keys = ["file_path", *extra, "block_start"]
+    blocks = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__m0"))
+    w = Window.partitionBy("file_path").orderBy(*extra, "block_start").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    j = d.join(blocks.select("file_path", "block_start", "__off", "__m0"), ["file_path", "block_start"])
+    j = d.join(blocks.select(*keys, "__off", "__m0"), keys)
     return j.withColumn(name, F.col("__off") + F.col("__mid") - F.col("__m0")).drop("__mid", "__off", "__m0")

@@ -33,4 +33,4 @@ def query(name: str, ops: str, sql: str | None = None):
 def load_all() -> None:
     # Importing the modules registers their queries.
     from feedloom.plans import (q_monitor, q_clean, q_sinks, q_screen,  # noqa: F401
-                                q_profile, q_xml, q_files, q_stream)
+                                q_profile, q_xml, q_files, q_load, q_stream)

@@ -331,3 +331,14 @@ PROCEEDING_TYPES = {
 }
 LENGTH_LIMITS = {"serial_no": 20, "registration_number": 20, "status_code": 10,
                  "purge_indicator": 1, "proceeding_number": 20}
+
+
+def family_types(family: str) -> dict[str, str]:
+    """The columns of a family's table and their types.  Keys and codes are text, so leading zeros stay."""
+    if family == "assignment":
+        return ASSIGNMENT_TYPES
+    if family == "proceeding":
+        return PROCEEDING_TYPES
+    lineage = ("data_source", "file_hash", "batch_number")
+    return {c: "date" if c in CASE_FILE_DATE_COLUMNS or c.endswith(("_dt", "_date")) else "boolean" if c.endswith("_in") else "string"
+            for c in CASE_FILE_COLUMNS if c not in lineage}
