@@ -8,6 +8,8 @@ cleaning rules.  No Python runs per record.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -190,9 +192,21 @@ def party_by_role(parties: Column, code: str) -> Column:
     return name_of(F.get(hits, 0))
 
 
-def proceeding_columns(rec: Column) -> list[Column]:
+def descendant_text(record: Column, tag: str) -> Column:
+    """Text of the first element named ``tag`` at any depth of a record, whatever its prefix and case; NULL without text."""
+    pattern = rf"(?i)<(?:[\w.-]+:)?{re.escape(tag)}(?:\s[^>]*?)?(?:/>|>([^<]*))"
+    text = F.regexp_extract(record, pattern, 1)
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return C.text_or_null(text)
+
+
+def proceeding_columns(rec: Column, record: Column | None = None) -> list[Column]:
+    """With the raw ``record``, fields that are no direct children are found at any depth."""
     def alt(tags):
-        return C.first_present(*[_g(rec, t) for t in tags])
+        own = [_g(rec, t) for t in tags]
+        return C.first_present(*own) if record is None else F.coalesce(
+            C.first_present(*own), *[descendant_text(record, t) for t in tags])
     parties = F.coalesce(_g(rec, "party-information", "party"), _g(rec, "party"))
     out = {
         "proceeding_number": alt(S.PROCEEDING_NUMBER_TAGS),
@@ -208,6 +222,7 @@ def proceeding_columns(rec: Column) -> list[Column]:
 
 def extract_proceedings(parsed: DataFrame, product_id: str, keep: tuple = ("file_path",)) -> DataFrame:
     """One row per proceeding."""
-    return parsed.select(*keep, *proceeding_columns(F.col("rec")),
+    record = F.col("record") if "record" in parsed.columns else None
+    return parsed.select(*keep, *proceeding_columns(F.col("rec"), record),
                          C.lineage_source(F.lit(product_id), "xml").alias("data_source"),
                          F.col("rec._corrupt_record").alias("_corrupt_record"))

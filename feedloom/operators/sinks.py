@@ -42,12 +42,20 @@ def seed_keep(existing: DataFrame, seed: DataFrame, key: list[str]) -> DataFrame
 
 
 # --------------------------------------------------------------------------- K3
+def one_per_key(rows: DataFrame, key: list[str], cols: list[str], order: list[str] | None = None) -> DataFrame:
+    """One incoming row a key: the last by ``order``, ties and no order by the greatest values (aggregated within tasks first)."""
+    best = F.max(F.struct(*[F.col(c) for c in [*(order or []), *cols]])).alias("__b")
+    return rows.groupBy(*key).agg(best).select(*key, *[F.col("__b").getField(c).alias(c) for c in cols])
+
+
 def upsert(old: DataFrame, new: DataFrame, key: list[str], update_cols: list[str],
-           keep_cols: list[str], now) -> DataFrame:
+           keep_cols: list[str], now, order: list[str] | None = None) -> DataFrame:
     """K3: insert new keys; for matched keys overwrite ``update_cols`` and bump ``updated_at``.
 
-    ``keep_cols`` keep the stored value when the key exists (e.g. created_at, table_name).
+    ``keep_cols`` keep the stored value when the key exists (e.g. created_at, table_name).  Of several incoming
+    rows of a key the last by ``order`` counts.
     """
+    new = one_per_key(new, key, update_cols + keep_cols, order)
     o = old.select(*key, *[F.col(c).alias(f"__o_{c}") for c in update_cols + keep_cols],
                    F.col("created_at").alias("__o_created"), F.col("updated_at").alias("__o_updated"),
                    F.lit(True).alias("__o"))
@@ -71,8 +79,8 @@ HKEY = ["product_id", "file_name"]
 
 def mark_processing(history: DataFrame, incoming: DataFrame, now) -> DataFrame:
     """K4: guarded upsert to 'processing'; 'completed' rows are never downgraded (nor touched)."""
-    inc = incoming.select(*HKEY, F.col("file_url").alias("__url"), F.col("file_size").alias("__size"),
-                          F.lit(True).alias("__n"))
+    inc = one_per_key(incoming, HKEY, ["file_url", "file_size"]).select(
+        *HKEY, F.col("file_url").alias("__url"), F.col("file_size").alias("__size"), F.lit(True).alias("__n"))
     j = history.withColumn("__o", F.lit(True)).join(inc, HKEY, "full")
     touched = F.col("__n").isNotNull() & ~F.coalesce(F.col("status") == "completed", F.lit(False))
     is_new = F.col("__o").isNull()

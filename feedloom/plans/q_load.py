@@ -261,3 +261,41 @@ def reload(spark, d):
     kind = F.regexp_extract("file_name", r"\.(\w+)$", 1)
     return h.groupBy(kind.alias("kind"), "status", F.col("processing_attempts").alias("attempts")).agg(
         F.sum("rows_processed").alias("rows_processed"), F.sum("rows_saved").alias("rows_saved"), F.max("error_message").alias("message"))
+
+
+# --------------------------------------------------------------------------- XML
+@query("xml_namespaces", "A14", """
+SELECT 'urn:feed:' || CAST(l_linenumber AS VARCHAR) AS uri, CASE WHEN l_linenumber % 2 = 0 THEN 'tm' ELSE '' END AS prefix, CAST(1 AS BIGINT) AS files
+FROM lineitem GROUP BY l_linenumber""")
+def xml_namespaces(spark, d):
+    """Namespaces declared by the root elements of a folder of documents."""
+    from feedloom.sources.xml import namespaces
+    root = scratch_path(spark, "namespaces")
+    rows = SI.table(spark, d, "lineitem").select("l_linenumber", F.concat(F.lit("<r>"), "l_orderkey", F.lit("</r>")).alias("line"))
+    for k in range(1, 8):
+        attr = f'xmlns:tm = "urn:feed:{k}"' if k % 2 == 0 else f"xmlns='urn:feed:{k}'"
+        own = rows.where(F.col("l_linenumber") == k)
+        if own.limit(1).count():
+            _write_lines(own.coalesce(1), f'<?xml version="1.0"?><!-- feed --><rows {attr} other="x">', f"{root}/{k}", "xml")
+    return namespaces(spark, root, glob="*.xml").groupBy("prefix", "uri").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("nested_proceedings", "X6 S12", """
+SELECT 'P' || CAST(o_orderkey AS VARCHAR) AS proceeding_number, CASE WHEN o_orderkey % 2 = 0 THEN 'OPP' ELSE 'CAN & X' END AS proceeding_type,
+       CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus END AS status, strftime(o_orderdate, '%Y-%m-%d') AS filing_date
+FROM orders""")
+def nested_proceedings(spark, d):
+    """Proceedings whose fields lie deeper than the record's children, prefixed, or in another case."""
+    from feedloom.operators.extract import PROCEEDING_SCHEMA, extract_proceedings
+    from feedloom.sources.xml import read_xml
+    root, o = scratch_path(spark, "nested-proceedings"), SI.table(spark, d, "orders")
+    kind = F.when(F.col("o_orderkey") % 2 == 0, F.lit("<proceeding-type>OPP</proceeding-type>")).otherwise(
+        F.lit("<info><ns:type-code>CAN &amp; X</ns:type-code></info>"))
+    status = F.when(F.col("o_orderkey") % 5 == 0, F.lit("<state><STATUS/></state>")).otherwise(
+        F.concat(F.lit("<state><STATUS code='1'>"), "o_orderstatus", F.lit("</STATUS></state>")))
+    rec = F.concat(F.lit("<proceeding-entry xmlns:ns='u'><head><id><proceeding-number>P"), F.col("o_orderkey").cast("string"),
+                   F.lit("</proceeding-number></id></head>"), kind, status, F.lit("<dates><day><filed-date> "),
+                   F.date_format("o_orderdate", "yyyyMMdd"), F.lit(" </filed-date></day></dates></proceeding-entry>"))
+    o.select(rec.alias("value")).repartition(3).write.text(root)
+    rows = extract_proceedings(read_xml(spark, root, "proceeding-entry", PROCEEDING_SCHEMA), "TTABYR")
+    return rows.select("proceeding_number", "proceeding_type", "status", F.date_format("filing_date", "yyyy-MM-dd").alias("filing_date"))

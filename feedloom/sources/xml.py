@@ -46,6 +46,24 @@ def record_tags(spark: SparkSession, paths, tags: list[str], glob: str | None =
                         F.regexp_extract("value", pat, 2).alias("tag")).distinct()
 
 
+def namespaces(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
+    """(file_path, prefix, uri) of the namespaces that each file's root element declares ('' is the default one).
+
+    The text is cut at '>' and only the first split of each file is kept: one row a file leaves a task.
+    """
+    reader = spark.read.option("lineSep", ">")
+    if glob:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", glob)
+    rows = (reader.text(paths).where(F.col("_metadata.file_block_start") == 0)
+            .select(F.col("_metadata.file_path").alias("file_path"), "value", F.monotonically_increasing_id().alias("at"))
+            .where(F.col("value").rlike(r"<[A-Za-z_][^<]*$")))
+    root = rows.groupBy("file_path").agg(F.min_by("value", "at").alias("tag"))
+    found = F.regexp_extract_all("tag", F.lit(r"""\sxmlns(?::[\w.-]+)?\s*=\s*(?:"[^"]*"|'[^']*')"""), F.lit(0))
+    decl = root.select("file_path", F.explode(found).alias("d"))
+    return decl.select("file_path", F.regexp_extract("d", r"xmlns:([\w.-]+)", 1).alias("prefix"),
+                       F.regexp_extract("d", r"""=\s*["'](.*)["']$""", 1).alias("uri"))
+
+
 def detect_prefix(spark: SparkSession, paths, tag: str, glob: str | None = None) -> str | None:
     """Namespace prefix used for ``tag`` (e.g. 'ns' for ``<ns:tag>``) anywhere in the files, or None.
 

@@ -112,3 +112,19 @@ def test_insert_ignore_null_key_parts_are_equal(spark):
     stored = sinks.insert_ignore(rows.limit(0), rows, ["k", "r"], ["pos"])
     assert sorted(r.pos for r in stored.collect()) == [1, 3]
     assert sinks.insert_ignore(stored, rows, ["k", "r"], ["pos"]).count() == 0
+
+
+def test_incoming_keys_are_made_unique(spark):
+    """K3/K4: several incoming rows of a key leave one row, the last by order."""
+    import datetime as dt
+    from feedloom import schemas as S
+    from feedloom.operators import sinks as K
+    old = spark.createDataFrame([("a", "x", "t", None, None)], "product_id string, title string, table_name string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    new = spark.createDataFrame([("a", "1", "n", 1), ("a", "2", "n", 2), ("b", "9", "n", 1), ("b", "3", "n", 2)], "product_id string, title string, table_name string, at int")
+    out = K.upsert(old, new, ["product_id"], ["title"], ["table_name"], dt.datetime(2024, 1, 1), order=None).collect()
+    assert sorted((r.product_id, r.title, r.table_name) for r in out) == [("a", "2", "t"), ("b", "9", "n")]
+    out = K.upsert(old, new, ["product_id"], ["title"], ["table_name"], dt.datetime(2024, 1, 1), order=["at"]).collect()
+    assert sorted((r.product_id, r.title) for r in out) == [("a", "2"), ("b", "3")]
+    h = spark.createDataFrame([], S.FILE_HISTORY_SCHEMA)
+    inc = spark.createDataFrame([("p", "f", "u", 1)] * 3, "product_id string, file_name string, file_url string, file_size long")
+    assert K.mark_processing(h, inc, dt.datetime(2024, 1, 1)).count() == 1

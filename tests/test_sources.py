@@ -111,3 +111,38 @@ def test_csv_file_positions_and_batches(spark, tmpdir_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert all(pos == serial and b == pos // 1000 for _, pos, serial, b in rows)
     assert sorted(r[1] for r in rows if r[0] == "a.csv") == list(range(2500))
+
+
+def test_csv_headers_of_all_kinds(spark, tmpdir_path):
+    """Column orders, quoted names, repeated and blank names, a byte-order mark, names that look like patterns, empty files."""
+    from feedloom.sources import csv as CS
+    from feedloom.sources import files as FS
+
+    def write(name, text):
+        with open(os.path.join(tmpdir_path, name), "w", encoding="utf-8") as f:
+            f.write(text)
+    write("a.csv", "id,name\n1,x\n2,y,EXTRA\n3\n")
+    write("b [1]* 100%.CSV", '﻿"name","odd, name",id,id,\n"p,q",o,4,5,6\n')
+    write("c.csv", "\n\nname,id\nz,7\n\nid,name\n")
+    write("empty.csv", "")
+    rows = CS.read_csv(spark, tmpdir_path, glob="*.[cC][sS][vV]")
+    got = sorted((r["id"] or "", r["name"] or "", r["odd, name"], r["id.1"], r["_c4"], r["_corrupt_record"]) for r in rows.collect())
+    assert got == [("1", "x", None, None, None, None), ("2", "y", None, None, None, "2,y,EXTRA"), ("3", "", None, None, None, "3"),
+                   ("4", "p,q", "o", "5", "6", None), ("7", "z", None, None, None, None), ("name", "id", None, None, None, None)]
+    assert rows.where("_corrupt_record is not null").select("_corrupt_record").count() == 2
+    inv = FS.header_inventory(spark, tmpdir_path, glob="*.[cC][sS][vV]")
+    assert sorted((r.position, r.column_name) for r in inv.collect()) == [
+        (0, "id"), (0, "name"), (0, "name"), (1, "id"), (1, "name"), (1, "odd,_name"), (2, "id"), (3, "id.1"), (4, "_c4")]
+    assert CS.read_csv(spark, os.path.join(tmpdir_path, "empty.csv")).count() == 0
+
+
+def test_positions_of_two_record_tags(spark, tmpdir_path):
+    """Records of two tags in one file get positions 0 to n - 1."""
+    from feedloom.operators.positions import file_positions
+    from feedloom.sources import xml as XS
+    rec = "<{0}><number>{1}</number></{0}>"
+    with open(os.path.join(tmpdir_path, "f.xml"), "w") as f:
+        f.write("<all>" + "".join(rec.format(t, i) for i, t in enumerate(["proceeding-entry", "proceeding"] * 3)) + "</all>")
+    rows = XS.read_family(spark, tmpdir_path, "proceeding", XS.flat_schema(["number"]), glob="*.xml")
+    got = file_positions(rows, "pos", "record_tag").select("record_tag", "pos", "rec.number").collect()
+    assert sorted(r.pos for r in got) == list(range(len(got))) and len({r.number for r in got}) == 6
