@@ -22,12 +22,21 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import materialize, table
 
+#: Least size of the sample; it grows with the parts, ``PER_PART`` vectors each.
 SAMPLE = 4096
-PART_ROWS = 4096
-MAX_PARTS = 256
+PER_PART = 16
+#: Parts grow with the root of the number of vectors, by this share of it.  The sample is what the driver fits, so both
+#: are bounded: beyond about 67 million vectors the parts grow instead of their number.
+ROOT_SHARE = 8
+MAX_PARTS = 1024
 BLOCK = 8192
 
 
+def part_count(vectors: int) -> int:
+    """A power of two near a fixed share of the root of the number of vectors, 2 at least."""
+    return min(MAX_PARTS, 1 << max(1, int(np.log2(max(1.0, np.sqrt(vectors) / ROOT_SHARE)))))
+
+
 def bisect(neigh: np.ndarray, nodes: np.ndarray, rng) -> tuple[np.ndarray, np.ndarray]:
     """Halves of equal size with few graph edges between them."""
     local = np.full(len(neigh), -1)
@@ -58,7 +67,10 @@ def bisect(neigh: np.ndarray, nodes: np.ndarray, rng) -> tuple[np.ndarray, np.nd
 
 
 def fit(sample: np.ndarray, parts: int, k: int = 20, target: float = 0.96, seed: int = 5):
-    """Classifier weights [d + 1, parts] and the number of parts a query visits."""
+    """Classifier weights [d + 1, parts] and the number of parts a query visits.
+
+    Every fifth vector of the sample takes no part in the training; on these the number of parts is set.
+    """
     rng = np.random.default_rng(seed)
     n = len(sample)
     if parts <= 1 or n < 4 * parts:
@@ -80,20 +92,22 @@ def fit(sample: np.ndarray, parts: int, k: int = 20, target: float = 0.96, seed:
         goal[np.arange(n), part[neigh[:, j]]] += 1 / kk
     goal = 0.5 * goal
     goal[np.arange(n), part] += 0.5
-    x = np.hstack([sample, np.ones((n, 1))])
+    every = np.hstack([sample, np.ones((n, 1))])
+    held = np.arange(n) % 5 == 0
+    x, goal = every[~held], goal[~held]
     w = np.zeros((x.shape[1], parts))
     m1, m2 = np.zeros_like(w), np.zeros_like(w)
     for r in range(1, 151):
         z = x @ w
         p = np.exp(z - z.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        g = x.T @ (p - goal) / n + 1e-6 * w
+        g = x.T @ (p - goal) / len(x) + 1e-6 * w
         m1 += 0.1 * (g - m1)
         m2 += 0.01 * (g * g - m2)
         w -= 0.3 * (m1 / (1 - 0.9 ** r)) / (np.sqrt(m2 / (1 - 0.99 ** r)) + 1e-8)
-    z = x @ w
-    home, rank = z.argmax(1), np.argsort(np.argsort(-z, axis=1), axis=1)
-    need = np.sort(rank[np.arange(n)[:, None], home[neigh]].ravel())
+    z = every @ w
+    home, rank = z.argmax(1), np.argsort(np.argsort(-z[held], axis=1), axis=1)
+    need = np.sort(rank[np.arange(len(rank))[:, None], home[neigh[held]]].ravel())
     return w, int(need[min(len(need) - 1, int(target * len(need)))]) + 1
 
 
@@ -121,8 +135,8 @@ def search(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", k:
     queries = materialize(queries.select("id", "rep"), "ann-queries")
 
     total = reps.count()
-    parts = min(MAX_PARTS, 1 << max(0, int(np.log2(max(1, total / PART_ROWS)))))
-    sample = np.array([r.v for r in reps.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).collect()])
+    parts = part_count(total)
+    sample = np.array([r.v for r in reps.orderBy(F.xxhash64("rep"), "rep").limit(max(SAMPLE, PER_PART * parts)).collect()])
     w, probes = fit(sample, parts, k)
     probes = min(probes, w.shape[1])
     shared = spark.sparkContext.broadcast(w)

@@ -36,12 +36,19 @@ def recall(got, want):
 
 
 def test_recall_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ann, "PART_ROWS", 32)
+    monkeypatch.setattr(ann, "ROOT_SHARE", 2)  # 8 parts of 500 vectors
     monkeypatch.setattr(ann, "BLOCK", 20)
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     assert recall(QUERIES["op2_ann"](spark, SF).collect(), brute(rows)) >= 0.9
 
 
+def test_recall_with_production_parameters(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    assert ann.part_count(len(rows)) > 1 and ann.part_count(10 ** 6) > ann.part_count(10 ** 5)
+    assert recall(QUERIES["op2_ann"](spark, sf).collect(), brute(rows)) >= 0.9
+
+
 def test_vector_odd_rows(spark):
     same = [(i, [1.0, 0.0]) for i in range(0, 200, 2)]
     odd = [(1, None), (3, [0.0, -0.0]), (5, [1.0, None]), (7, [float("nan"), 1.0]), (9, [float("inf"), 1.0]), (11, [1.0]), (None, [1.0, 2.0])]
