@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import sys
 import types
@@ -16,9 +17,9 @@ from pyspark.sql import functions as F
 from feedloom.session import scratch_path
 
 #: Text handled at a time inside a task, in bytes (one longer document is handled alone, whole).
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 1 << 20
 #: Bytes of an Arrow batch on its way to a Python worker (one longer row is a batch of its own).
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -88,6 +89,24 @@ def worker_cache(name: str) -> dict:
     return mod.__dict__.setdefault(name, {})
 
 
+def release() -> None:
+    """Give memory that is free but held by the allocators back to the system (idle workers stay alive)."""
+    import pyarrow as pa
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
+def tidy(run):
+    """``run`` over a task's batches, the memory it leaves released at the end of the task."""
+    def tidied(batches):
+        yield from run(batches)
+        release()
+    return tidied
+
+
 def share(spark: SparkSession, model):
     """Broadcast an object of this package's classes by value, so executors need no install."""
     return spark.sparkContext.broadcast(cloudpickle.dumps(model))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bounds, mix, share, shared_value, slices, table, text_bytes
+from feedloom.llm.common import bounds, mix, share, shared_value, slices, table, text_bytes, tidy
 
 RADIUS, BLOCKS, BITS = 15, 4, 16
 K = 5
@@ -227,7 +227,7 @@ def contamination(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_
                         found.append((ids[i + d], index.items[item][0], s, len(index.items[item][1]), sim))
                 yield pd.DataFrame(found, columns=["id", "item", "start_word", "n_words", "similarity"])
 
-        part = rows.mapInPandas(lambda b, run=run: run(b), schema)
+        part = rows.mapInPandas(tidy(run), schema)
         out = part if out is None else out.unionByName(part)
     return out.withColumnsRenamed({"id": id_col, "item": item_col})
 

@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import materialize, mix, table, text_bytes
+from feedloom.llm.common import materialize, mix, table, text_bytes, tidy
 from feedloom.llm.shingles import shingle_sets
 
 FREQUENT = 64
@@ -83,7 +83,7 @@ def prefixes(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield pd.DataFrame({"id": pdf["id"], "n": n, "cls": cls, "prefix": pre})
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), text_bytes(text_col).alias("t"))
-    return rows.mapInPandas(run, "id long, n long, cls long, prefix array<long>")
+    return rows.mapInPandas(tidy(run), "id long, n long, cls long, prefix array<long>")
 
 
 def combinations(rows: DataFrame, extra: str = "") -> DataFrame:
@@ -157,7 +157,7 @@ def token_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame) ->
             yield pd.DataFrame({"id": pd.Series(cls, dtype="int64"), "rep": pdf["rep"].to_numpy(), "toks": packed})
 
     rows = df.select(F.col(id_col).cast("long").alias("rep"), text_bytes(text_col).alias("t")).where("rep is not null")
-    found = rows.select("rep", bucket("rep").alias("b"), "t").mapInPandas(run, "id long, rep long, toks binary")
+    found = rows.select("rep", bucket("rep").alias("b"), "t").mapInPandas(tidy(run), "id long, rep long, toks binary")
     return found.join(wanted.select("id", "rep"), ["id", "rep"], "left_semi").select("id", "toks")
 
 
@@ -240,7 +240,7 @@ def verify(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
 
     hub_first = (F.col("id") != F.col("a")).cast("int")
     return (rows.withColumn("o", hub_first).repartition("a", "salt").sortWithinPartitions("a", "salt", "o", "id")
-            .select("a", "salt", "id", "toks").mapInPandas(run, "a long, b long"))
+            .select("a", "salt", "id", "toks").mapInPandas(tidy(run), "a long, b long"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bounds, encode_words, held_out, mix, segment_sums, share, shared_value, slices, table, text_bytes
+from feedloom.llm.common import bounds, encode_words, held_out, mix, segment_sums, share, shared_value, slices, table, text_bytes, tidy
 
 BUCKETS = 1 << 15
 STRETCH = 24
@@ -282,7 +282,7 @@ def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             yield pd.DataFrame({"id": pdf["id"], "lang_pred": names[pred], "score": score, "n_words": n_words, "switches": switches})
 
     rows = df.select(F.col(id_col).alias("id"), text_bytes(text_col).alias("t"))
-    out = rows.mapInPandas(run, f"id {kind}, lang_pred string, score double, n_words long, switches long")
+    out = rows.mapInPandas(tidy(run), f"id {kind}, lang_pred string, score double, n_words long, switches long")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import materialize, share, shared_value, table
+from feedloom.llm.common import materialize, share, shared_value, table, tidy
 
 #: Folder of whole licence texts, one a file, read by the driver; without it only the texts stated here are known.
 LICENSE_DIR = "/usr/share/common-licenses"
@@ -204,7 +204,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", dir_cols
             res.insert(0, "id", pdf["id"].to_numpy())
             yield res
 
-    own = materialize(rows.mapInPandas(run, f"id {kind}, dir string, own_license string, own_score double, start long, end long, "
+    own = materialize(rows.mapInPandas(tidy(run), f"id {kind}, dir string, own_license string, own_score double, start long, end long, "
                                             "is_license_file boolean, file_license string, file_score double"), "licenses")
     best = F.max_by("file_license", F.struct("file_score", F.negate(F.coalesce(F.col("id").cast("long"), F.lit(0)))))
     set_ = own.where("is_license_file").groupBy(F.col("dir").alias("up")).agg(best.alias("up_license"))

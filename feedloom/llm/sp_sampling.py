@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import bounds, mix, slices, table, text_bytes, worker_cache
+from feedloom.llm.common import bounds, mix, slices, table, text_bytes, tidy, worker_cache
 
 SPACE = "▁"
 #: Stands for the sign itself where a text holds it; like bytes that are no UTF-8 (escaped as surrogates), it is
@@ -38,8 +38,8 @@ SIGN = "\ud800"
 UNIT = re.compile(f"{SPACE}+[^{SPACE}\n\t]*|[^{SPACE}\n\t]+|[\n\t]")
 #: Step of the polynomial hash of a piece's characters.
 STEP = np.uint64(0x100000001B3D)
-#: Word lattices kept per worker before the cache starts anew.
-CACHE_UNITS = 250_000
+#: Word lattices kept within a task before the cache starts anew.
+CACHE_UNITS = 200_000
 
 
 def marked(text: bytes) -> str:
@@ -365,9 +365,10 @@ def sample(df: DataFrame, model_path: str, k: int = 2, id_col: str = "doc_id", t
             for rows in draws(lat, texts, keys, k):
                 out = pd.DataFrame(rows, columns=["id", "draw", "ids", "n_pieces", "logp", "perturbed", "log_inclusion", "round_trip"])
                 yield out.assign(id=ids[out["id"].to_numpy(np.int64)])
+        lat.clear()  # the pieces stay for the worker's next task, the words' lattices do not
 
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("key"), text_bytes(text_col).alias("t"))
-    return rows.mapInPandas(run, f"id {kind}, draw int, ids binary, n_pieces int, logp double, perturbed double, "
+    return rows.mapInPandas(tidy(run), f"id {kind}, draw int, ids binary, n_pieces int, logp double, perturbed double, "
                                  "log_inclusion double, round_trip boolean").withColumnRenamed("id", id_col)
 
 
