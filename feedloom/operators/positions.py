@@ -58,6 +58,52 @@ def global_positions(df: DataFrame, order: list, name: str = "pos", base: int =
     return group_positions(df, [], order, name=name, base=base)
 
 
+def rank_slice(df: DataFrame, order: list[str], first: int, last: int, name: str = "pos", base: int = 1,
+               target: int = 500_000, buckets: int = 32) -> DataFrame:
+    """The rows whose position in a total order lies in ``first`` to ``last`` (from ``base``), with that position.
+
+    Nothing but the range that holds these ranks is sorted.  A small sample cuts the leading column into
+    ``buckets`` ranges, their row counts tell which of them hold the ranks, and the same is done within these
+    until at most ``target`` rows are left; each round reads the order columns of the rows still in question
+    only (the range is a pushed filter).  Where one value of the leading column holds more rows than that, the
+    rows of the range get their positions by a distributed sort.  The order must be unique up to equal rows.
+    """
+    lead, a, z = F.col(order[0]), first - base, last - base
+    before, size, keep = 0, None, None  # rows before the range, in it, and the range as a condition
+    while True:
+        part = df if keep is None else df.where(keep)
+        picks = sorted(r[0] for r in part.where(lead.isNotNull()).select(lead, F.xxhash64(*order).alias("__h"))
+                       .orderBy("__h").limit(64 * buckets).collect())
+        cuts = sorted({picks[i * len(picks) // buckets] for i in range(1, buckets)}) if picks else []
+        place = F.when(lead.isNull(), F.lit(-1)).otherwise(sum([(lead >= F.lit(c)).cast("int") for c in cuts], F.lit(0)))
+        counts = sorted((r[0], r[1]) for r in part.groupBy(place.alias("b")).agg(F.count(F.lit(1))).collect())  # at most buckets + 1 rows
+        at, chosen = before, []
+        for b, n in counts:
+            if at + n > a and at <= z:
+                chosen.append((b, at, n))
+            at += n
+        if not chosen:
+            return df.limit(0).withColumn(name, F.lit(0).cast("long"))
+        lo, hi, rows = chosen[0][0], chosen[-1][0], sum(n for *_, n in chosen)
+        narrower = F.lit(True) if lo < 0 else lead.isNotNull()
+        if lo > 0:
+            narrower = narrower & (lead >= F.lit(cuts[lo - 1]))
+        if hi < 0:
+            narrower = lead.isNull()
+        elif hi < len(cuts):
+            narrower = narrower & (lead.isNull() | (lead < F.lit(cuts[hi])) if lo < 0 else lead < F.lit(cuts[hi]))
+        keep = narrower if keep is None else keep & narrower
+        before, stuck, size = chosen[0][1], rows == size, rows
+        if size <= target or stuck:
+            break
+    part = df.where(keep)
+    if size <= target:
+        placed = part.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long") + F.lit(before + base - 1))
+    else:
+        placed = global_positions(part, order, name=name, base=before + base)
+    return placed.where(F.col(name).between(first, last))
+
+
 def assign_batches(df: DataFrame, group: list[str], order: list, batch_size: int,
                    pos: str = "pos") -> DataFrame:
     """Consecutive rows of a group in batches of ``batch_size``, numbered from 0."""

@@ -186,24 +186,23 @@ def batch_assignment(spark, d):
     return P.assign_batches(o, ["o_custkey"], ["o_orderkey"], batch_size=4)
 
 
-@query("row_slice", "W2", """
-SELECT l_orderkey, l_linenumber, rn FROM (
-  SELECT l_orderkey, l_linenumber, ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem) t
-WHERE rn BETWEEN 10080 AND 10090""")
+_LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+_LINE_RANKS = f"""
+SELECT {', '.join(_LINE_ORDER)}, l_returnflag, rn FROM (
+  SELECT *, ROW_NUMBER() OVER (ORDER BY {', '.join(_LINE_ORDER)}) AS rn FROM lineitem) t"""
+
+
+@query("row_slice", "W2", f"{_LINE_RANKS} WHERE rn BETWEEN 10080 AND 10090")
 def row_slice(spark, d):
-    li = SI.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
-    pos = P.global_positions(li, ["l_orderkey", "l_linenumber"], base=1, name="rn")
-    return pos.filter(F.col("rn").between(10080, 10090))
+    li = SI.table(spark, d, "lineitem").select(*_LINE_ORDER, "l_returnflag")
+    return P.rank_slice(li, _LINE_ORDER, 10080, 10090, name="rn")
 
 
-@query("last_n", "W3 J7", """
-SELECT l_orderkey, l_linenumber, rn FROM (
-  SELECT l_orderkey, l_linenumber, ROW_NUMBER() OVER (ORDER BY l_orderkey, l_linenumber) AS rn FROM lineitem) t
-WHERE rn > (SELECT COUNT(*) FROM lineitem) - 5""")
+@query("last_n", "W3 J7", f"{_LINE_RANKS} WHERE rn > (SELECT COUNT(*) FROM lineitem) - 5")
 def last_n(spark, d):
-    li = SI.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
-    pos = P.global_positions(li, ["l_orderkey", "l_linenumber"], base=1, name="rn")
-    return M.last_n_by_position(pos, "rn", 5)
+    li = SI.table(spark, d, "lineitem").select(*_LINE_ORDER, "l_returnflag")
+    total = li.count()
+    return P.rank_slice(li, _LINE_ORDER, total - 4, total, name="rn")
 
 
 @query("count_predicate", "A8", """

@@ -60,3 +60,19 @@ def test_group_positions_with_payload_written_and_compared(spark, tmpdir_path):
     want = df.withColumn("want", F.row_number().over(w) - 1).select("id", "want")
     got = spark.read.parquet(tmpdir_path + "/out").join(want, "id")
     assert got.count() == 400_000 and got.where("pos <> want").count() == 0
+
+
+def test_rank_slice_against_a_whole_sort(spark):
+    """Ranks from any place, with NULL and hot leading values, in one or several rounds."""
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, 5, 5, 5, rnd.randrange(1000)]), i, f"p{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, i int, p string").repartition(5)
+    whole = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for first, last in ((1, 3), (500, 520), (1400, 1404), (2990, 3000), (2999, 3050), (4000, 4010)):
+        for target in (100, 100_000):
+            got = P.rank_slice(df, ["k", "i"], first, last, name="rn", target=target, buckets=8).collect()
+            assert sorted((r.rn, r.k, r.i, r.p) for r in got) == [(n, *whole[n - 1]) for n in range(first, min(last, 3000) + 1)], (first, target)
+    assert P.rank_slice(df.limit(0), ["k", "i"], 1, 5).count() == 0
+    words = spark.createDataFrame([(w,) for w in "the quick brown fox jumps over a lazy dog".split()], "w string")
+    assert [r.w for r in P.rank_slice(words, ["w"], 2, 3, target=2).orderBy("pos").collect()] == ["brown", "dog"]
