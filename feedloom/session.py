@@ -68,17 +68,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def arrow_uri(uri: str) -> str:
+    """A path as Spark writes it, in the schemes that pyarrow knows (Hadoop's names for stores are mapped)."""
+    if "://" not in uri:
+        return "file://" + re.sub("^file:", "", uri)
+    return re.sub(r"^(s3a|s3n)://", "s3://", re.sub(r"^wasbs?://|^abfss://", "abfs://", uri))
+
+
 def open_output(uri: str):
-    """Writable binary stream for ``uri`` on any filesystem pyarrow knows (local, s3, gs, hdfs).
+    """Writable binary stream for ``uri`` on any filesystem pyarrow knows (local, s3, gs, hdfs, abfs).
 
     Used by per-partition helpers on executors that must write whole files (Stata, ZIP).
     """
     import pyarrow.fs as pafs
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    if "://" not in uri:
-        uri = "file://" + uri
-    fs, path = pafs.FileSystem.from_uri(uri)
+    fs, path = pafs.FileSystem.from_uri(arrow_uri(uri))
     parent = path.rsplit("/", 1)[0]
     if parent:
         fs.create_dir(parent, recursive=True)

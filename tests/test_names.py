@@ -39,3 +39,10 @@ def test_align_union_and_to(spark):
     assert out.columns == ["serial_no", "missing", "_extras"]
     r = out.first()
     assert r.serial_no == 1 and r.missing is None and "status_code" in r._extras
+
+
+def test_store_schemes_for_whole_file_writers():
+    from feedloom.session import arrow_uri
+    assert arrow_uri("/a/b") == arrow_uri("file:/a/b") == "file:///a/b" and arrow_uri("file:///a/b") == "file:///a/b"
+    assert arrow_uri("s3a://bucket/x") == "s3://bucket/x" and arrow_uri("hdfs://host:1/x") == "hdfs://host:1/x"
+    assert arrow_uri("abfss://c@h/x") == "abfs://c@h/x"
