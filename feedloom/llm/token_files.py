@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import slices, table, text_bytes, worker_cache
-from feedloom.session import open_output, scratch_path
+from feedloom.session import arrow_uri, open_output, scratch_path
 
 #: Word types and plain cores kept per worker before that cache starts anew.
 CACHE_TYPES, CACHE_CORES = 700_000, 800_000
@@ -167,7 +167,7 @@ def mapped(path: str):
     if path.startswith("file:") or "://" not in path:
         local = "/" + path.removeprefix("file:").lstrip("/")
         return lambda dtype, a, b: np.memmap(local, dtype, "r")[a:b]
-    fs, inner = pafs.FileSystem.from_uri(path)
+    fs, inner = pafs.FileSystem.from_uri(arrow_uri(path))
     f = fs.open_input_file(inner)
 
     def read(dtype, a, b):
