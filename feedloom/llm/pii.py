@@ -9,7 +9,8 @@ beside the base span.  A text without any disguise passes the chain unread.
 
 Spelled digits, alone or mixed with written groups and with "dot", are rewritten one by one: gaps between
 single digits go, those beside longer groups stay as written, and the detectors decide what the run is.  Nine
-or more single digits with seven or more spelled count as a phone number even without a plus.  A bare "at"
+or more single digits with seven or more spelled count as a phone number even without a plus.  Digits are spelled in
+English, German, French or Spanish; a run of one word repeated is no number.  A bare "at"
 counts only with bare or bracketed "dot" after it, so prose stays as it is.
 
 Defined results: NULL or empty text has no spans; rows that repeat an id are scanned on their own; an
@@ -47,7 +48,15 @@ LOOK_ALIKES = {
     "Z": "Ζ", "-": "‐‑‒–—−", ".": "․。", "@": "﹫", " ": "      　",
 }
 INVISIBLE = "­​‌‍⁠﻿"
-DIGIT_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
+# Digits spelled in the languages of the texts, 0 to 9.
+DIGIT_WORDS = {
+    "en": ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"),
+    "de": ("null", "eins", "zwei", "drei", "vier", "fünf", "sechs", "sieben", "acht", "neun"),
+    "fr": ("zéro", "un", "deux", "trois", "quatre", "cinq", "six", "sept", "huit", "neuf"),
+    "es": ("cero", "uno", "dos", "tres", "cuatro", "cinco", "seis", "siete", "ocho", "nueve"),
+}
+#: The digit of each word, "oh" included.
+WORD_DIGIT = {"oh": "0"} | {w: str(d) for words in DIGIT_WORDS.values() for d, w in enumerate(words)}
 
 
 def fold_map() -> dict[int, str]:
@@ -63,12 +72,12 @@ def fold_map() -> dict[int, str]:
 FOLD = fold_map()
 STRANGE = re.compile("[" + "".join(map(re.escape, map(chr, FOLD))) + INVISIBLE + "]")
 HIDDEN = re.compile(f"[{INVISIBLE}]")
-_WORD = rf"(?:{'|'.join(DIGIT_WORDS)}|oh)(?![A-Za-z0-9])"
+_WORD = rf"(?:{'|'.join(WORD_DIGIT)})(?!\w)"
 _GROUP = rf"(?:{_WORD}|[0-9]++(?![A-Za-z]))"
-_GAP = r"(?:\s{1,2}dot\s{1,2}|[\s,.()-]{1,3})"
-SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:plus[\s-]+|\+\s?)?{_GROUP}(?:{_GAP}{_GROUP})+", re.I)
-SPELLED_PART = re.compile(rf"(plus[\s-]+|\+\s?)|(\s{{1,2}}dot\s{{1,2}})|({_WORD})|([0-9]+)|([\s,.()-]+)", re.I)
-SPELLED_HINT = re.compile(rf"(?<![A-Za-z0-9])(?:{_WORD}{_GAP}{_GROUP}|[0-9]++{_GAP}{_WORD})", re.I)
+_GAP = r"(?:\s{1,2}(?:dot|punkt|point|punto)\s{1,2}|[\s,.()-]{1,3})"
+SPELLED = re.compile(rf"(?<!\w)(?:plus[\s-]+|\+\s?)?{_GROUP}(?:{_GAP}{_GROUP})+", re.I)
+SPELLED_PART = re.compile(rf"(plus[\s-]+|\+\s?)|(\s{{1,2}}(?:dot|punkt|point|punto)\s{{1,2}})|({_WORD})|([0-9]+)|([\s,.()-]+)", re.I)
+SPELLED_HINT = re.compile(rf"(?<!\w)(?:{_WORD}{_GAP}{_GROUP}|[0-9]++{_GAP}{_WORD})", re.I)
 DISGUISE_HINT = re.compile(r"[\[({<]\s?(?:at|dot|@|\.|punkt|point|punto|arroba)\s?[\])}>]|\sdot\s", re.I)
 _AT = r"\s{0,2}[\[({<]\s?(?:at|@|arroba)\s?[\])}>]\s{0,2}"
 _DOT = r"(?:\s{0,2}[\[({<]\s?(?:dot|\.|punkt|point|punto)\s?[\])}>]\s{0,2}|\s{1,2}dot\s{1,2})"
@@ -142,10 +151,9 @@ class Tape:
 def spelled(m: re.Match) -> list[tuple[int, int, str]]:
     """Edits that make a run of spelled and written digits a written one; none where no digit is spelled."""
     parts = [(p.lastindex, p[0], m.start() + p.start(), m.start() + p.end()) for p in SPELLED_PART.finditer(m[0])]
-    if not any(what == 3 for what, *_ in parts):
-        return []
-    value = {"oh": "0"} | {w: str(d) for d, w in enumerate(DIGIT_WORDS)}
-    new = ["+" if what == 1 else "." if what == 2 or text == "." else value.get(text.lower(), text) for what, text, *_ in parts]
+    if len({text.lower() for what, text, *_ in parts if what in (3, 4)}) < 2 or not any(what == 3 for what, *_ in parts):
+        return []  # nothing spelled, or one word over and over ("null, null, null")
+    new = ["+" if what == 1 else "." if what == 2 or text == "." else WORD_DIGIT.get(text.lower(), text) for what, text, *_ in parts]
     octets = "".join(n if n == "." or what in (3, 4) else "" for n, (what, *_) in zip(new, parts)).split(".")
     ip = len(octets) == 4 and all(0 < len(o) <= 3 and int(o) <= 255 for o in octets)
     single = [what in (3, 4) and len(n) == 1 for n, (what, *_) in zip(new, parts)]

@@ -96,3 +96,20 @@ def test_rewrites_compose():
     tape.rewrite([(2, 5, "x"), (7, 8, "")])
     tape.rewrite([(1, 4, "YZ")])
     assert tape.text == "0YZ689" and (tape.start[1], tape.end[2]) == (1, 6) and rng
+
+
+def test_digits_spelled_in_four_languages():
+    from feedloom.llm.pii import added, detect
+    cases = {
+        "ruf an plus vier neun drei null fünf sechs sieben acht eins zwei drei bitte": ("phone", "plus vier neun drei null fünf sechs sieben acht eins zwei drei"),
+        "appelez le plus trois trois un quatre deux six huit neuf cinq zéro sept ok": ("phone", "plus trois trois un quatre deux six huit neuf cinq zéro sept"),
+        "llama al +34 nueve uno dos tres cuatro cinco seis siete ocho hoy": ("phone", "+34 nueve uno dos tres cuatro cinco seis siete ocho"),
+        "server uno cero punto 20 punto tres punto 4 hoy": ("ip", "uno cero punto 20 punto tres punto 4"),
+    }
+    kinds = ("email", "ip", "card", "phone")
+    for text, (kind, span) in cases.items():
+        got = [(kinds[k], text[a:b]) for k, a, b in added(text, detect(text))]
+        assert (kind, span) in got, (text, got)
+    for clean in ("null, null, null, null, null, null, null, null, null, null, null, null, null", "un deux trois soleil", "acht neun zehn",
+                  "uno dos tres, cuatro casas", "sept huit neuf personnes et six autres"):
+        assert added(clean, detect(clean)) == []
