@@ -8,6 +8,8 @@ to HyperLogLog (``approx_count_distinct``) for very wide or very large inputs.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -258,11 +260,17 @@ def path_mapping(profile: DataFrame, family: str) -> DataFrame:
 
 
 def xml_samples(spark: SparkSession, paths, n: int = 5) -> DataFrame:
-    """Q7: records of the first tag pattern (in priority order) that has any, first ``n``, as nested JSON."""
-    from feedloom.sources.xml import record_texts
+    """Q7: records of the first tag pattern (in priority order) that has any, first ``n``, as nested JSON.
+
+    Only files that hold a tag are scanned for it: a scan for a tag that a file lacks would return the file as one row.
+    """
+    from feedloom.sources.xml import record_tags, record_texts
+    held: dict[str, list[str]] = {}
+    for r in record_tags(spark, paths, S.SAMPLE_TAG_PATTERNS).where("prefix = ''").orderBy("file_path").collect():
+        held.setdefault(r["tag"], []).append(unquote(r["file_path"]))
     for tag in S.SAMPLE_TAG_PATTERNS:
-        recs = record_texts(spark, paths, tag)
-        if not recs.isEmpty():
+        recs = record_texts(spark, held[tag], tag) if tag in held else None
+        if recs is not None and not recs.isEmpty():
             return to_json_tree(recs.limit(n), "record").withColumn("tag", F.lit(tag))
     return spark.createDataFrame([], "record string, tree string, tag string")
 
