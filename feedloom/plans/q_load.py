@@ -11,7 +11,7 @@ from feedloom.functions import clean as C
 from feedloom.operators import tables as TB
 from feedloom.plans import standins as SI
 from feedloom.plans.registry import query
-from feedloom.plans.render import rendered
+from feedloom.plans.render import CSV_ROWS, XML_ROWS, rendered, spread
 from feedloom.session import open_output, scratch_path
 from feedloom.sources import csv as CS
 
@@ -20,9 +20,10 @@ BATCH = 1000
 CSV_GLOB = "*.[cC][sS][vV]"
 
 
-def _write_lines(rows, header: str, path: str, extension: str = "csv") -> None:
-    """Files of ready lines (column ``line``) under a header line; nothing is quoted or escaped."""
-    (rows.select(F.col("line").alias(header)).write.option("header", "true").option("sep", "\u0001").option("quote", "\u0000")
+def _write_lines(rows, header: str, path: str, extension: str = "csv", by: list[str] | None = None) -> None:
+    """Files of ready lines (column ``line``) under a header line; nothing is quoted or escaped.  A folder for each value of ``by``."""
+    (rows.select(F.col("line").alias(header), *(by or [])).write.partitionBy(*(by or []))
+     .option("header", "true").option("sep", "\u0001").option("quote", "\u0000")
      .option("emptyValue", "").option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .option("extension", extension).csv(path))
 
@@ -36,8 +37,7 @@ SELECT l_orderkey % 3 AS generation, l_linenumber, {SERIAL} AS serial, l_orderke
 _GOOD = "n % 40 <> 0 AND n % 41 <> 0"
 
 
-def _feed(spark, d):
-    li = SI.table(spark, d, "lineitem")
+def _feed(li):
     n = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     serial = F.lpad(n.cast("string"), 12, "0")
     return li.select((F.col("l_orderkey") % 3).alias("generation"), "l_linenumber", n.alias("n"),
@@ -47,17 +47,24 @@ def _feed(spark, d):
 
 
 def _mixed_dir(spark, d):
-    """Three generations of one feed: other names, another order, an unknown column, an upper-case extension."""
+    """Three generations of one feed: other names, another order, an unknown column, an upper-case extension.
+
+    A generation is written in one job: a line number's rows are dealt to one task before they are rendered, and make one file.
+    """
     def render():
-        root, rows = scratch_path(spark, "mixed"), _feed(spark, d)
+        root, li = scratch_path(spark, "mixed"), SI.table(spark, d, "lineitem").where(F.col("l_linenumber").between(1, 7))
         wide, narrow = F.col("n") % 40 == 0, F.col("n") % 41 == 0
 
         def part(generation, cells, header, name, extension="csv"):
             line = F.concat_ws(",", *cells)
             line = F.when(wide, F.concat(line, F.lit(",EXTRA"))).when(narrow, cells[0]).otherwise(line)
-            own = rows.where(F.col("generation") == generation).select("l_linenumber", line.alias("line"))
-            for k in range(1, 8):  # one file for each line number
-                _write_lines(own.where(F.col("l_linenumber") == k).coalesce(1), header, f"{root}/{name}/ln{k}", extension)
+            own = li.where(F.col("l_orderkey") % 3 == generation)
+            if own.limit(1).count():
+                own = own.repartition("l_linenumber").sortWithinPartitions("l_linenumber")
+                rows = _feed(own).select(line.alias("line"), F.col("l_linenumber").alias("ln"))
+                _write_lines(rows, header, f"{root}/{name}", extension, ["ln"])
+            else:  # a header alone
+                _write_lines(_feed(own).select(line.alias("line")).coalesce(1), header, f"{root}/{name}/ln=1", extension)
 
         c = F.col
         part(0, [c("serial"), c("day"), c("mark")], "Serial Number,Filing-Dt,MARK_ID_CHAR", "first")
@@ -146,7 +153,7 @@ def batch_history(spark, d):
     batches = spark.read.parquet(f"{_loaded(spark, d)}/batches")
     place = F.regexp_extract("file_name", "^([a-z]+)/", 1)
     generation = F.when(place == "first", 0).when(place == "second", 1).otherwise(2).cast("long")
-    return batches.select(generation.alias("generation"), F.regexp_extract("file_name", "/ln(\\d)/", 1).cast("int").alias("l_linenumber"),
+    return batches.select(generation.alias("generation"), F.regexp_extract("file_name", "/ln=(\\d)/", 1).cast("int").alias("l_linenumber"),
                           "batch_number", "rows_in_batch")
 
 
@@ -182,24 +189,24 @@ def _zip_of(spark, groups: dict[str, list[str]], extra: dict[str, str]) -> None:
         with open_output(pdf["target"].iloc[0]) as f:
             f.write(buf.getvalue())
         return pd.DataFrame({"n": [len(pdf)]})
-    files.join(wanted, "path").groupBy("target").applyInPandas(build, "n long").count()
+    files.join(F.broadcast(wanted), "path").groupBy("target").applyInPandas(build, "n long").count()
 
 
 def _zip_delivery(spark, d):
     """Archives of equal names in two folders, two CSVs and one XML each, beside one that is no archive."""
     def render():
         src, root = scratch_path(spark, "zip-parts"), scratch_path(spark, "zip-mixed")
-        li, o = SI.table(spark, d, "lineitem"), SI.table(spark, d, "orders")
+        li, o = spread(SI.table(spark, d, "lineitem"), 8, CSV_ROWS), spread(SI.table(spark, d, "orders"), 4, XML_ROWS)
         key = F.concat(F.lit("1"), F.lpad((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"), 11, "0"))
-        (li.select(key.alias("serial_no"), F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("mark_identification")).repartition(8)
+        (li.select(key.alias("serial_no"), F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("mark_identification"))
          .write.option("header", "true").csv(f"{src}/csv"))
         rec = F.concat(F.lit("<case-file><serial-number>2"), F.lpad(F.col("o_orderkey").cast("string"), 11, "0"),
                        F.lit("</serial-number><case-file-header><mark-identification>"), F.col("o_orderstatus"),
                        F.lit("</mark-identification></case-file-header></case-file>"))
-        o.select(rec.alias("value")).repartition(4).write.text(f"{src}/xml")
+        o.select(rec.alias("value")).write.text(f"{src}/xml")
         files = lambda sub: sorted(r.path for r in spark.read.format("binaryFile").load(f"{src}/{sub}").select("path").collect())
         csvs, xmls = files("csv"), files("xml")
-        groups = {f"{root}/d{i % 2}/feed{i // 2}.zip": [*csvs[2 * i:2 * i + 2], *xmls[i:i + 1]] for i in range(4)}
+        groups = {f"{root}/d{i % 2}/feed{i // 2}.zip": [*csvs[2 * i:2 * i + 2], *xmls[i:i + 1]] for i in range(max(-(-len(csvs) // 2), len(xmls)))}
         _zip_of(spark, {t: p for t, p in groups.items() if p}, {"README.txt": "layout notes", "docs/spec.pdf": "%PDF-1.4"})
         with open_output(f"{root}/d0/broken.zip") as f:
             f.write(b"this is no archive")
@@ -230,16 +237,17 @@ def two_formats(spark, d):
     from feedloom.plans.load import run_load
     src, out, o = scratch_path(spark, "formats"), scratch_path(spark, "formats-loaded"), SI.table(spark, d, "orders")
     key = F.lpad(F.col("o_orderkey").cast("string"), 9, "0")
+    o = spread(o, 3, XML_ROWS)
     (o.where("o_orderkey % 2 = 0").select(key.alias("Serial No"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("filing_date"),
                                           F.col("o_orderpriority").alias("mark_identification"))
-     .repartition(3).write.option("header", "true").csv(f"{src}/one"))
+     .write.option("header", "true").csv(f"{src}/one"))
     rec = F.concat(F.lit("<case-file><serial-number>"), key, F.lit("</serial-number><case-file-header><filing-date>"),
                    F.date_format("o_orderdate", "yyyyMMdd"), F.lit("</filing-date><mark-identification>"), F.col("o_orderstatus"),
                    F.lit("</mark-identification></case-file-header></case-file>"))
-    o.select(rec.alias("value")).repartition(3).write.option("extension", "xml").text(f"{src}/parts")
-    # The text writer names its files .txt; an archive gives them their name.
+    o.select(rec.alias("value")).write.option("extension", "xml").text(f"{src}/parts")
+    # The text writer names its files .txt; an archive gives them their name, three files in each.
     parts = sorted(r.path for r in spark.read.format("binaryFile").load(f"{src}/parts").select("path").collect())
-    _zip_of(spark, {f"{src}/two/feed.zip": parts}, {})
+    _zip_of(spark, {f"{src}/two/feed{i // 3}.zip": parts[i:i + 3] for i in range(0, len(parts), 3)}, {})
     for step in ("one", "two"):
         run_load(spark, f"{src}/{step}", "TRCFECO2", "case_file", f"{out}/table", f"{out}/history", NOW)
     rows = spark.read.parquet(f"{out}/table")
@@ -288,7 +296,7 @@ def nested_proceedings(spark, d):
     """Proceedings whose fields lie deeper than the record's children, prefixed, or in another case."""
     from feedloom.operators.extract import PROCEEDING_SCHEMA, extract_proceedings
     from feedloom.sources.xml import read_xml
-    root, o = scratch_path(spark, "nested-proceedings"), SI.table(spark, d, "orders")
+    root, o = scratch_path(spark, "nested-proceedings"), spread(SI.table(spark, d, "orders"), 3, XML_ROWS)
     kind = F.when(F.col("o_orderkey") % 2 == 0, F.lit("<proceeding-type>OPP</proceeding-type>")).otherwise(
         F.lit("<info><ns:type-code>CAN &amp; X</ns:type-code></info>"))
     status = F.when(F.col("o_orderkey") % 5 == 0, F.lit("<state><STATUS/></state>")).otherwise(
@@ -296,6 +304,6 @@ def nested_proceedings(spark, d):
     rec = F.concat(F.lit("<proceeding-entry xmlns:ns='u'><head><id><proceeding-number>P"), F.col("o_orderkey").cast("string"),
                    F.lit("</proceeding-number></id></head>"), kind, status, F.lit("<dates><day><filed-date> "),
                    F.date_format("o_orderdate", "yyyyMMdd"), F.lit(" </filed-date></day></dates></proceeding-entry>"))
-    o.select(rec.alias("value")).repartition(3).write.text(root)
+    o.select(rec.alias("value")).write.text(root)
     rows = extract_proceedings(read_xml(spark, root, "proceeding-entry", PROCEEDING_SCHEMA), "TTABYR")
     return rows.select("proceeding_number", "proceeding_type", "status", F.date_format("filing_date", "yyyy-MM-dd").alias("filing_date"))

@@ -26,9 +26,11 @@ SELECT l_orderkey, l_linenumber, serial_no FROM (
 GROUP BY l_orderkey, l_linenumber, serial_no""")
 def stream_ingest(spark, d):
     src = messy_case_csv(spark, d)
+    files = len(spark.read.text(src).inputFiles())
     target = scratch_path(spark, "stream-target")
     STR.ingest_csv_stream(spark, src, _CSV_COLS, target, scratch_path(spark, "stream-ckpt"), "TRCFECO2",
-                          key=["l_orderkey", "l_linenumber", "serial_no"], keep=["l_orderkey", "l_linenumber"])
+                          key=["l_orderkey", "l_linenumber", "serial_no"], keep=["l_orderkey", "l_linenumber"],
+                          files_per_batch=-(-files // 4) or 1)
     out = spark.read.parquet(target)
     return out.select(F.col("l_orderkey").cast("bigint").alias("l_orderkey"),
                       F.col("l_linenumber").cast("int").alias("l_linenumber"), "serial_no")
