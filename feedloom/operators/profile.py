@@ -188,12 +188,13 @@ PARTIAL_SCHEMA = T.StructType([
 def _partial_batches(it, col):
     import re
     import xml.etree.ElementTree as ET
+    from collections import Counter
 
     import pandas as pd
     strip = re.compile(r"<(/?)[A-Za-z0-9_.-]+:")
     for pdf in it:
         acc: dict = {}
-        for text in pdf[col]:
+        for text, n in Counter(pdf[col]).items():
             if text is None:
                 continue
             try:
@@ -208,7 +209,7 @@ def _partial_batches(it, col):
                 a = acc.get(path)
                 if a is None:
                     a = acc[path] = [0, depth, set(), set(), False]
-                a[0] += 1
+                a[0] += n
                 a[2].update(_local(x) for x in el.attrib)
                 a[3].update(names)
                 a[4] = a[4] or bool(el.text and el.text.strip())
@@ -217,9 +218,33 @@ def _partial_batches(it, col):
                            columns=[f.name for f in PARTIAL_SCHEMA.fields])
 
 
+# Text between two tags: blank text goes, and legal text that begins with a visible character becomes one '>' (legal there,
+# and visible).  Text with any other character or reference stays as it is, for the parser to judge.  Classes list their
+# characters: a list is one table look-up, while ranges are tried one after the other.
+def _listed(first: int) -> str:
+    return "[" + "".join(f"\\x{i:02x}" for i in (9, 10, 13, *range(32, 127)) if i >= first and chr(i) not in "<>&") + "]"
+
+
+_ENTITY, _PLAIN = "&(?:amp|lt|gt|quot|apos);", _listed(0) + "*+"
+_BETWEEN_TAGS = (r">(?:[ \t\r\n]++(?=<)|(?<=(>))[ \t\r\n]*+(?:" + _listed(33) + "|" + _ENTITY + r"|\p{L})" + _PLAIN
+                 + "(?:(?:" + _ENTITY + r"|[^\x00-\x7f\ufffe\uffff]++)" + _PLAIN + "){0,50}+(?=<))")
+
+
+def structure_text(record) -> Column:
+    """A record with its text cut down to whether there is any: as well-formed as the record, with the same elements.
+
+    Comments, CDATA sections, instructions and declarations can hold what looks like tags; such records stay whole.
+    """
+    c = F.col(record) if isinstance(record, str) else record
+    return F.when(c.contains("<!") | c.contains("<?"), c).otherwise(F.regexp_replace(c, F.lit(_BETWEEN_TAGS), F.lit(">$1")))
+
+
 def path_profile_partials(records: DataFrame, col: str = "record") -> DataFrame:
-    """X11 pre-aggregated: per Arrow batch, one row per element path (count, depth, names, text)."""
-    return records.select(col).mapInPandas(lambda it: _partial_batches(it, col), PARTIAL_SCHEMA)
+    """X11 pre-aggregated: per Arrow batch, one row per element path (count, depth, names, text).
+
+    A profile needs no values, so the parser gets ``structure_text``, and records of a batch that are alike in it once.
+    """
+    return records.select(structure_text(col).alias(col)).mapInPandas(lambda it: _partial_batches(it, col), PARTIAL_SCHEMA)
 
 
 def xml_path_profile(walk: DataFrame) -> DataFrame:

@@ -124,3 +124,58 @@ def test_stream_takes_a_fourth_of_the_files_a_batch(spark, SF, small_files, monk
                         or spark.range(0).selectExpr("'' l_orderkey", "'' l_linenumber", "0L serial_no").write.parquet(a[3]))
     q_stream.stream_ingest(spark, SF)
     assert sizes[0] > 1
+
+
+def _profile_by_records(texts):
+    """Brute force: every record parsed whole, one at a time."""
+    import re
+    import xml.etree.ElementTree as ET
+    strip, got = re.compile(r"<(/?)[A-Za-z0-9_.-]+:"), {}
+    for text in texts:
+        try:
+            todo = [(ET.fromstring(strip.sub(r"<\1", text)), "", 0)]
+        except ET.ParseError:
+            continue
+        while todo:
+            el, above, depth = todo.pop()
+            path = f"{above}/{el.tag}".lstrip("/")
+            a = got.setdefault(path, [0, depth, set(), set(), False])
+            a[0] += 1
+            a[2] |= {k.rpartition("}")[2] for k in el.attrib}
+            a[3] |= {k.tag for k in el}
+            a[4] |= bool(el.text and el.text.strip())
+            todo += [(k, path, depth + 1) for k in el]
+    return {p: (n, d, sorted(a), sorted(c), t) for p, (n, d, a, c, t) in got.items()}
+
+
+def test_path_profile_of_cut_down_records_equals_that_of_whole_ones(spark):
+    import random
+    from unittest import mock
+    text = ["", " ", "\n  ", "a", " b ", "x > y", "]]>", "]]&gt;", "a&amp;b", "&lt;", "&#32;", "&#65;", "&foo;", "&", "é", " ", " x", "\x85",
+            "\x01", "a\x02b", "￾", "￿z", "漢字 &amp; x", "<!-- > n <i> -->", "<!-- <j> -- -->", "<![CDATA[ <k> ]]>", "<?p >v<?>", " ", "a\"b'c",
+            "x\ty", "é" * 40 + "&amp;" * 60, "q</i>", "<i>", "\U0001F600", "a\U0001F600", "="]
+    tags, rng = ["i", "j", "n:k", "m"], random.Random(4)
+
+    def element(depth):
+        t = rng.choice(tags)
+        attrs = rng.choice(["", "", ' a="1"', " b='x > y'", ' c="<"', ' d=">', ' a="1" a="2"', ' e="&gt;"', " "])
+        if rng.random() < 0.1:
+            return f"<{t}{attrs}/>"
+        inside = "".join(rng.choice(text) if rng.random() < 0.6 or depth > 2 else element(depth + 1) for _ in range(rng.randint(0, 3)))
+        return f"<{t}{attrs}>{inside}</{t}>"
+
+    texts = [f"<r>{element(0)}{rng.choice(text[:5])}</r>" for _ in range(3000)] + [f"<r><i>{x}</i><j>{x}<m/>{x}</j></r>" for x in text]
+    records = spark.createDataFrame([(t,) for t in [*texts, None]], "record string")
+    got = {r["path"]: (r["occurrences"], r["depth"], r["attributes"], r["child_tags"], r["has_text"])
+           for r in PR.xml_path_profile(PR.path_profile_partials(records)).collect()}
+    want = _profile_by_records(texts)
+    assert got == want and want["r"][0] > 500
+
+    # Records that differ in their text alone are parsed once a batch; each was parsed before.
+    import xml.etree.ElementTree as ET
+    alike, parsed, real = [f"<r><i>{k}</i> <j>no. {k} &amp; co</j></r>" for k in range(200)], [], ET.fromstring
+    cut = [r[0] for r in spark.createDataFrame([(t,) for t in alike], "record string").select(PR.structure_text("record")).collect()]
+    import pandas as pd
+    with mock.patch.object(ET, "fromstring", lambda t: parsed.append(t) or real(t)):
+        out = pd.concat(PR._partial_batches([pd.DataFrame({"record": cut})], "record"))
+    assert len(parsed) == 1 and out.set_index("path").occurrences.to_dict() == {"r": 200, "r/i": 200, "r/j": 200}
