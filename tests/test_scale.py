@@ -179,3 +179,40 @@ def test_path_profile_of_cut_down_records_equals_that_of_whole_ones(spark):
     with mock.patch.object(ET, "fromstring", lambda t: parsed.append(t) or real(t)):
         out = pd.concat(PR._partial_batches([pd.DataFrame({"record": cut})], "record"))
     assert len(parsed) == 1 and out.set_index("path").occurrences.to_dict() == {"r": 200, "r/i": 200, "r/j": 200}
+
+
+def test_large_files_are_hashed_as_they_are_read(spark, tmpdir_path, monkeypatch):
+    import gzip
+    import hashlib
+
+    from feedloom.sources import files as FS
+    contents = {"plain.csv": b"a,b\n" * 3000, "no end.csv": b"a,b\r\n" * 3000 + b"last", "mark.csv": b"\xef\xbb\xbf" + b"x\n" * 900,
+                "mark%20[1] {x}.csv": b"\xef\xbb\xbf" + b"x\n" * 900 + b"\n\ny", "feeds.csv": b"\n" * 2000, "bytes.zip": bytes(range(256)) * 50,
+                "one line.csv": b"z" * 5000, "packed.gz": gzip.compress(os.urandom(3000)), "small.csv": b"s\n"}
+    for name, data in contents.items():
+        with open(os.path.join(tmpdir_path, name), "wb") as f:
+            f.write(data)
+    monkeypatch.setattr(FS, "WHOLE_BYTES", 500)
+    seen, real = [], FS.streamed_hashes
+    monkeypatch.setattr(FS, "streamed_hashes", lambda s, lengths: seen.append(real(s, lengths)) or seen[-1])
+    settings = [spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")]
+    want = {n: (len(c), hashlib.md5(c).hexdigest()) for n, c in contents.items()}
+    got = {os.path.basename(r["path"]): (r["length"], r["file_hash"]) for r in FS.file_hashes(spark, tmpdir_path).collect()}
+    assert got == want
+    assert {os.path.basename(p) for p in seen[0]} == set(contents) - {"packed.gz", "small.csv"}
+    assert settings == [spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")]
+    got = {os.path.basename(r["path"]) for r in FS.file_hashes(spark, tmpdir_path, max_bytes=5000).collect()}
+    assert got == {n for n, c in contents.items() if len(c) <= 5000}
+
+    # Files that the reader splits all the same are read whole.
+    monkeypatch.setattr(FS, "streamed_hashes", lambda s, lengths: {p: h for p, h in real(s, lengths).items() if "plain" in p})
+    got = {os.path.basename(r["path"]): (r["length"], r["file_hash"]) for r in FS.file_hashes(spark, tmpdir_path).collect()}
+    assert got == want
+
+
+def test_feed_queries_run_in_methods_that_the_jvm_compiles(spark, SF):
+    import __spark_entry__ as E
+    for name in ("assignment_first", "assignment_per_property", "full_load"):
+        spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+        E.queries()[name](spark, SF)
+        assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000", name
